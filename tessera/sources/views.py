@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.text import word_ngrams
+from ..functions.text import ngrams, non_empty_words
 
 # First day of the held-out period of the recommender.
 SPLIT_DATE = "2001-01-01"
@@ -117,6 +117,7 @@ def wide_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def doc_shingles(spark: SparkSession, sf_dir: str, n: int = 3) -> DataFrame:
     """(doc_id, shingle): distinct word n-grams of the whole text."""
-    return table(spark, sf_dir, "documents").select(
-        "doc_id", F.explode(word_ngrams(F.col("text"), n)).alias("shingle")
+    tokens = table(spark, sf_dir, "documents").select(
+        "doc_id", non_empty_words(F.col("text")).alias("tokens")
     )
+    return tokens.select("doc_id", F.explode(ngrams(F.col("tokens"), n)).alias("shingle"))
