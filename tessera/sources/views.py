@@ -121,3 +121,29 @@ def doc_shingles(spark: SparkSession, sf_dir: str, n: int = 3) -> DataFrame:
         "doc_id", non_empty_words(F.col("text")).alias("tokens")
     )
     return tokens.select("doc_id", F.explode(ngrams(F.col("tokens"), n)).alias("shingle"))
+
+
+def users(spark: SparkSession, sf_dir: str, rated: DataFrame) -> DataFrame:
+    """Customer columns with review count and mean stars."""
+    per = rated.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("review_count_user"), F.avg("stars").alias("user_avg_rate")
+    )
+    c = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("user_id"),
+        F.col("c_acctbal").alias("acctbal"),
+        F.col("c_nationkey").alias("nationkey"),
+    )
+    return c.join(per, "user_id")
+
+
+def business_profile(spark: SparkSession, sf_dir: str, rated: DataFrame) -> DataFrame:
+    """Part columns with review count and mean stars."""
+    per = rated.groupBy("business_id").agg(
+        F.count(F.lit(1)).alias("review_count_bus"), F.avg("stars").alias("bus_avg_rate")
+    )
+    p = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("business_id"),
+        F.col("p_retailprice").alias("retailprice"),
+        F.col("p_size").alias("size"),
+    )
+    return p.join(per, "business_id")
