@@ -11,10 +11,14 @@ MERSENNE_31 = 2**31 - 1
 
 
 def coefficients(n: int, seed: int = 42, p: int = MERSENNE_31) -> list[tuple[int, int]]:
-    """n seeded (a, b) pairs, 1 <= a, b < min(p, 10^6): a*x+b stays far inside a bigint."""
-    top = min(p, 10**6)
+    """n seeded (a, b) pairs in [1, p).
+
+    With members below p <= 2^31 the product a*x stays below 2^62, inside a bigint. The whole
+    range matters: with small a and x the product would not pass p, and every hash of the
+    family would have its minimum at the same member.
+    """
     rnd = random.Random(seed)
-    return [(rnd.randrange(1, top), rnd.randrange(1, top)) for _ in range(n)]
+    return [(rnd.randrange(1, p), rnd.randrange(1, p)) for _ in range(n)]
 
 
 def universal_hash(x: Column, a: int, b: int, m: int | None = None, p: int = MERSENNE_31) -> Column:
