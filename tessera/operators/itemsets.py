@@ -2,8 +2,9 @@
 
 No basket is ever gathered into one row. Pairs come from the shared-key join with baskets as
 keys; longer sets grow one item at a time: a set found in a basket is joined with its surviving
-extensions, and the added item must be in the same basket. Inside the miner an item is the struct
-(support, item), so sets start with their rarest item and few sets share a prefix.
+extensions, and the added item must be in the same basket. Inside the miner a frequent item is a
+number that rises with its support, so sets start with their rarest item and few sets share
+a prefix.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ import math
 from pyspark.sql import DataFrame, functions as F
 from pyspark.storagelevel import StorageLevel
 
-from ..session import checkpointed
+from ..session import checkpointed, small_side
 from .pairs import pair_sums, pairs_within, probe_skew
 from .partitions import partition_of
 
@@ -38,115 +39,128 @@ def support_for(rows: DataFrame, fraction: float) -> int:
     return max(1, math.ceil(fraction * count_baskets(rows)))
 
 
-def _joined_levels(rows: DataFrame, needs: DataFrame, max_len: int | None) -> DataFrame:
+def _mined(rows: DataFrame, needs: DataFrame, max_len: int | None) -> DataFrame:
     """(grp, items, support) of all sets frequent within their group.
 
     `rows` holds distinct (grp, basket_id, item), a basket lying in one group; `needs` holds the
     support (grp, need) asked in each group.
     """
     counts = rows.groupBy("grp", "item").agg(F.count(F.lit(1)).alias("support"))
-    singles = checkpointed(_enough(counts, needs))
+    # The numbers follow the sort across partitions; the checkpoint keeps them as they are. An
+    # item has a number of its own in every group, so the number also tells the group.
+    singles = checkpointed(
+        counts.join(needs, "grp")
+        .where(F.col("support") >= F.col("need"))
+        .orderBy("support", "grp", "item")
+        .withColumn("code", F.monotonically_increasing_id())
+    )
+    names = small_side(singles, singles.count())
     kept = (
-        rows.join(singles, ["grp", "item"])
-        .select("grp", "basket_id", F.struct("support", "item").alias("it"), "need")
+        rows.join(names, ["grp", "item"])
+        .select("basket_id", "code", "need")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     held = [kept]
-    levels = [
-        singles.select("grp", F.array(F.struct("support", "item")).alias("items"), "support")
-    ]
-    tagged = kept.select(F.struct("grp", "it").alias("tag"), "basket_id", "need")
-    pairs = pair_sums(
-        tagged, "tag", "basket_id", F.col("need"), skew=probe_skew(tagged, "basket_id")
-    )
-    pairs = pairs.select(
-        F.col("a.grp").alias("grp"), F.array("a.it", "b.it").alias("items"), F.col("n").alias("support")
-    )
-    level = _enough(pairs, needs).drop("need")
-    found = kept.select("grp", "basket_id", F.array("it").alias("items"))
-    item_rows = kept.select("basket_id", F.col("it").alias("last"))
+    levels = [singles.select(F.array("code").alias("items"), "support")]
+    asked = names.select(F.col("code").alias("first"), "need")
+    level = _frequent(
+        pair_sums(
+            kept, "code", "basket_id", F.col("need"), skew=probe_skew(kept, "basket_id")
+        ).select(F.array("a", "b").alias("items"), F.col("n").alias("support")),
+        asked,
+    )
+    item_rows = kept.select("basket_id", F.col("code").alias("last"))
+    found = kept.select("basket_id", F.array("code").alias("items"))
     size = 2
     while max_len is None or size <= max_len:
         level = checkpointed(level)
-        if level.isEmpty():
+        n_sets = level.count()
+        if n_sets == 0:
             break
         levels.append(level)
         if size == max_len:
             break
+        candidates = checkpointed(_candidates(level, size + 1))
+        n_candidates = candidates.count()
+        if n_candidates == 0:
+            break
+        sets = small_side(level.select("items"), n_sets)
         if size == 2:
-            found = _occurrences(found, level, item_rows, size)
+            found = _occurrences(found, sets, item_rows)
         else:
-            found = grown.join(level.select("grp", "items"), ["grp", "items"], "left_semi")
-        grown = _occurrences(found, _candidates(level, size + 1), item_rows, size + 1).persist(
+            found = found.join(sets, "items", "left_semi")
+        found = _occurrences(found, small_side(candidates, n_candidates), item_rows).persist(
             StorageLevel.MEMORY_AND_DISK
         )
-        held.append(grown)
-        counts = grown.groupBy("grp", "items").agg(F.count(F.lit(1)).alias("support"))
-        level = _enough(counts, needs).drop("need")
+        held.append(found)
+        level = _frequent(
+            found.groupBy("items").agg(F.count(F.lit(1)).alias("support")), asked
+        )
         size += 1
     out = levels[0]
     for lv in levels[1:]:
         out = out.unionByName(lv)
     for h in held:
         h.unpersist()
-    return out.select(
-        "grp",
-        F.array_sort(F.transform("items", lambda x: x["item"])).alias("items"),
-        F.col("support").cast("bigint").alias("support"),
+    # Back to items; the lists are as long as the sets.
+    return (
+        out.select("items", "support", F.explode("items").alias("code"))
+        .join(names.select("code", "grp", "item"), "code")
+        .groupBy("items", "grp", "support")
+        .agg(F.array_sort(F.collect_list("item")).alias("names"))
+        .select("grp", F.col("names").alias("items"), "support")
     )
 
 
-def _enough(counts: DataFrame, needs: DataFrame) -> DataFrame:
-    return counts.join(needs, "grp").where(F.col("support") >= F.col("need"))
+def _frequent(counts: DataFrame, asked: DataFrame) -> DataFrame:
+    return (
+        counts.join(asked, F.col("items")[0] == F.col("first"))
+        .where(F.col("support") >= F.col("need"))
+        .select("items", "support")
+    )
 
 
 def _candidates(level: DataFrame, size: int) -> DataFrame:
     """Sets of `size` items: prefix join of the level below, then every subset must be in it."""
-    prefix = F.struct(F.col("grp"), F.slice("items", 1, size - 2).alias("head"))
-    last = F.element_at("items", -1).alias("last")
-    ext = level.select(prefix.alias("k"), prefix.alias("key"), last)
-    pairs = pairs_within(ext, "last", "k", ["key"], probe_skew(ext, "k"))
-    made = pairs.select(
-        F.col("key_a.grp").alias("grp"),
-        F.concat("key_a.head", F.array("a", "b")).alias("items"),
+    head = F.slice("items", 1, size - 2)
+    ext = level.select(
+        head.alias("k"), head.alias("head"), F.element_at("items", -1).alias("last")
     )
+    pairs = pairs_within(ext, "last", "k", ["head"], probe_skew(ext, "k"))
+    made = pairs.select(F.concat("head_a", F.array("a", "b")).alias("items"))
     # The two sets that were joined are known to be frequent; the other size - 2 are checked.
     subsets = made.select(
-        "grp",
         "items",
         F.explode(
             F.transform(
-                F.sequence(F.lit(1), F.lit(size - 2)),
-                lambda drop: F.filter("items", lambda x, i: i != drop - 1),
+                F.sequence(F.lit(0), F.lit(size - 3)),
+                lambda drop: F.filter("items", lambda x, i: i != drop),
             )
         ).alias("subset"),
     )
-    known = level.select("grp", F.col("items").alias("subset"))
+    known = level.select(F.col("items").alias("subset"))
     return (
-        subsets.join(known, ["grp", "subset"])
-        .groupBy("grp", "items")
+        subsets.join(known, "subset")
+        .groupBy("items")
         .agg(F.count(F.lit(1)).alias("hits"))
         .where(F.col("hits") == size - 2)
-        .drop("hits")
+        .select("items")
     )
 
 
-def _occurrences(
-    found: DataFrame, sets: DataFrame, item_rows: DataFrame, size: int
-) -> DataFrame:
-    """(grp, basket_id, items): baskets that hold the sets, from baskets that hold their heads."""
+def _occurrences(found: DataFrame, sets: DataFrame, item_rows: DataFrame) -> DataFrame:
+    """(basket_id, items): baskets that hold the sets, from baskets that hold their heads."""
     ext = sets.select(
-        "grp",
-        F.slice("items", 1, size - 1).alias("head"),
+        F.slice("items", 1, F.size("items") - 1).alias("head"),
         F.element_at("items", -1).alias("last"),
         "items",
     )
     return (
         found.withColumnRenamed("items", "head")
-        .join(ext, ["grp", "head"])
-        .select("grp", "basket_id", "items", "last")
+        .join(ext, "head")
+        .select("basket_id", "items", "last")
         .join(item_rows, ["basket_id", "last"], "left_semi")
-        .select("grp", "basket_id", "items")
+        .select("basket_id", "items")
     )
 
 
@@ -156,7 +170,7 @@ def frequent_itemsets(
     """(items, support): all sets of items that are together in at least `support` baskets."""
     needs = rows.sparkSession.createDataFrame([(0, support)], "grp int, need int")
     one = rows.select(F.lit(0).alias("grp"), "basket_id", "item")
-    return _joined_levels(one, needs, max_len).drop("grp")
+    return _mined(one, needs, max_len).drop("grp")
 
 
 def _chunked(rows: DataFrame, support: int, n_chunks: int) -> tuple[DataFrame, DataFrame]:
@@ -185,7 +199,7 @@ def son_candidates(
     side, each against its own threshold.
     """
     placed, needs = _chunked(rows, support, n_chunks)
-    return _joined_levels(placed, needs, max_len).select("items").distinct()
+    return _mined(placed, needs, max_len).select("items").distinct()
 
 
 def count_itemsets(rows: DataFrame, sets: DataFrame) -> DataFrame:

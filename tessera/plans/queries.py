@@ -68,7 +68,7 @@ def top_users(spark: SparkSession, d: str) -> DataFrame:
 
 def top_words(spark: SparkSession, d: str) -> DataFrame:
     stop = spark.createDataFrame([(w,) for w in ("", *STOP_WORDS)], "word string")
-    return ex.top_words(vw.table(spark, d, "documents"), "text", stop, TOP)
+    return ex.top_words(vw.documents(spark, d), "text", stop, TOP)
 
 
 def category_avg(spark: SparkSession, d: str) -> DataFrame:
@@ -115,7 +115,7 @@ def baskets_by_item(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _type_baskets(spark: SparkSession, d: str) -> DataFrame:
-    return it.baskets(vw.order_items(spark, d, "p_type"), "basket_id", "item")
+    return checkpointed(it.baskets(vw.order_items(spark, d, "p_type"), "basket_id", "item"))
 
 
 def _flat(sets: DataFrame, *more: str) -> DataFrame:
@@ -130,7 +130,8 @@ def frequent_itemsets(spark: SparkSession, d: str) -> DataFrame:
 
 
 def frequent_itemsets_min_basket(spark: SparkSession, d: str) -> DataFrame:
-    rows = it.baskets(vw.order_items(spark, d, "p_brand"), "basket_id", "item", MIN_BRANDS)
+    brands = vw.order_items(spark, d, "p_brand")
+    rows = checkpointed(it.baskets(brands, "basket_id", "item", MIN_BRANDS))
     return _flat(it.frequent_itemsets(rows, it.support_for(rows, BRAND_SUPPORT)), "support")
 
 

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+# Rows of a narrow table that may be sent to every task: some 20 MB.
+BROADCAST_ROWS = 200_000
 
 
 def get_session(app: str = "tessera", master: str | None = None, **conf: str) -> SparkSession:
@@ -13,6 +16,8 @@ def get_session(app: str = "tessera", master: str | None = None, **conf: str) ->
         SparkSession.builder.appName(app)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # A small partition can stand for a lot of work here: pairs and paths fan out.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
@@ -42,3 +47,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Run the plan once, keep its rows in the shared folder and start a new lineage there."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def small_side(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """A broadcast hint for a table whose counted rows allow it; beyond that the join shuffles."""
+    return F.broadcast(df) if rows <= limit else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt out to all cores when the input has fewer splits than that, as one unsplittable
+    file does. With many files nothing happens."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import ngrams, non_empty_words
+from ..session import spread
 
 # First day of the held-out period of the recommender.
 SPLIT_DATE = "2001-01-01"
@@ -115,9 +116,13 @@ def wide_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def doc_shingles(spark: SparkSession, sf_dir: str, n: int = 3) -> DataFrame:
     """(doc_id, shingle): distinct word n-grams of the whole text."""
-    tokens = table(spark, sf_dir, "documents").select(
+    tokens = documents(spark, sf_dir).select(
         "doc_id", non_empty_words(F.col("text")).alias("tokens")
     )
     return tokens.select("doc_id", F.explode(ngrams(F.col("tokens"), n)).alias("shingle"))
