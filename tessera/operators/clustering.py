@@ -183,7 +183,7 @@ def kmeans_labels(df: DataFrame, k: int, seed: int, rows: int) -> DataFrame:
         return df.withColumn("cluster", F.lit(0))
     vectors = df.withColumn("_v", array_to_vector(F.col("features"))).persist()
     model = KMeans(
-        k=k, maxIter=500, seed=seed, featuresCol="_v", predictionCol="cluster"
+        k=k, maxIter=500, initSteps=5, seed=seed, featuresCol="_v", predictionCol="cluster"
     ).fit(vectors)
     vectors.unpersist()
     return model.transform(df.withColumn("_v", array_to_vector(F.col("features")))).drop("_v")
