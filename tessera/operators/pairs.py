@@ -40,7 +40,8 @@ def probe_skew(
 ) -> Skew:
     """One count per key; at most `max_hot` keys come back to the driver."""
     heavy = (
-        members.groupBy(key)
+        members.where(F.col(key).isNotNull())
+        .groupBy(key)
         .agg(F.count(F.lit(1)).alias("degree"))
         .where(F.col("degree") > min(block_rows, hot_degree))
         .orderBy(F.desc("degree"), F.asc(key))
@@ -145,7 +146,7 @@ def pair_sums(
     cols = [F.col(id_col).alias("_id"), F.col(key).alias("_key"), need.alias("_need")]
     if value:
         cols.append(F.col(value).cast("double").alias(value))
-    members = members.select(*cols)
+    members = members.select(*cols).where(F.col("_key").isNotNull())
 
     def totals(pairs: DataFrame) -> DataFrame:
         aggs = [F.count(F.lit(1)).alias("n")]

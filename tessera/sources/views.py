@@ -36,11 +36,11 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def train_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reviews(spark, sf_dir).where(F.col("date") < F.lit(SPLIT_DATE).cast("timestamp"))
+    return reviews(spark, sf_dir).where(F.col("date") < F.lit(SPLIT_DATE).cast("date"))
 
 
 def test_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reviews(spark, sf_dir).where(F.col("date") >= F.lit(SPLIT_DATE).cast("timestamp"))
+    return reviews(spark, sf_dir).where(F.col("date") >= F.lit(SPLIT_DATE).cast("date"))
 
 
 def business(spark: SparkSession, sf_dir: str) -> DataFrame:

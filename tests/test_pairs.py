@@ -86,3 +86,10 @@ def test_hot_key_alone_makes_no_pairs(spark):
     df = spark.createDataFrame([(i, "hot") for i in range(200)], "id long, k string")
     got = pr.pair_sums(df, "id", "k", 2, skew=pr.Skew(hot=["hot"], large=True))
     assert got.count() == 0
+
+
+def test_missing_keys_join_nothing(spark):
+    rows = [(i, None) for i in range(30)] + [(1, "k"), (2, "k")]
+    df = spark.createDataFrame(rows, "id long, k string")
+    assert pr.probe_skew(df, "k", block_rows=10, hot_degree=20) == pr.Skew(block_rows=10)
+    assert [tuple(r) for r in pr.shared_counts(df, "id", "k", 1).collect()] == [(1, 2, 1)]
