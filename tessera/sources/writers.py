@@ -23,6 +23,7 @@ def write_model(df: DataFrame, path: str) -> None:
     df.select("b1", "b2", "sim").write.mode("overwrite").parquet(path)
 
 
+# The columns of the round metrics file.
 METRIC_COLUMNS = (
     "round_id",
     "nof_cluster_discard",

@@ -106,8 +106,10 @@ def test_betweenness_by_hand(spark):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_betweenness_equals_closed_form(spark, seed):
     edges = _random_edges(seed)
-    got = {(r.src, r.dst): r.score for r in bt.edge_betweenness(_frame(spark, edges)).collect()}
-    assert got == pytest.approx(_brute_betweenness(edges))
+    for batches in (1, 3):
+        rows = bt.edge_betweenness(_frame(spark, edges), batches).collect()
+        got = {(r.src, r.dst): r.score for r in rows}
+        assert got == pytest.approx(_brute_betweenness(edges))
 
 
 def test_girvan_newman_by_hand(spark):
@@ -133,7 +135,7 @@ def test_girvan_newman_equals_one_edge_at_a_time(spark, seed):
     assert rows[0].modularity == pytest.approx(best)
 
 
-def test_removal_keys_follow_the_queue(spark):
+def test_running_total(spark):
     df = spark.createDataFrame([(i % 3, i, float(i)) for i in range(50)], "g int, o int, v double")
     total = {r.o: r.t for r in bt.running_total(df, "o", "v", "t").collect()}
     assert total == {i: i * (i + 1) / 2 for i in range(50)}
