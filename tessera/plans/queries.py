@@ -352,7 +352,8 @@ def bfr_stream_rounds(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _frames(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    rated = cf.ratings(vw.train_reviews(spark, d))
+    # Read five times below, as rows and as profiles of both sides.
+    rated = checkpointed(cf.ratings(vw.train_reviews(spark, d)))
     wanted = cf.ratings(vw.test_reviews(spark, d))
     users = vw.users(spark, d, rated)
     business = vw.business_profile(spark, d, rated)

@@ -49,14 +49,6 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def checkpointed_wide(df: DataFrame) -> DataFrame:
-    """A checkpoint for rows that many passes work on: few partitions are dealt out to all cores,
-    which happens only when the rows are few."""
-    kept = checkpointed(df)
-    dealt = spread(kept)
-    return kept if dealt is kept else checkpointed(dealt)
-
-
 def small_side(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     """A broadcast hint for a table whose counted rows allow it; beyond that the join shuffles."""
     return F.broadcast(df) if rows <= limit else df
