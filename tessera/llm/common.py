@@ -56,6 +56,11 @@ def dealt(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def wrapped(docs: DataFrame, **more: Column) -> DataFrame:
+    """One column `row` with a row's own columns, and the given ones: their names can't clash."""
+    return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), *[c.alias(n) for n, c in more.items()])
+
+
 def order_hash(*columns: Column | str) -> Column:
     """32 hex digits that give rows an order unrelated to their content."""
     parts = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("")) for c in columns]

@@ -45,10 +45,10 @@ def gram_counts(text: str) -> np.ndarray | None:
         return None
     points = np.where(is_letter, points, np.uint32(32))
     # One blank before, after and between words.
-    keep = np.ones(len(points), bool)
-    keep[1:] = is_letter[1:] | is_letter[:-1]
-    blank = np.array([32], np.uint32)
-    points = np.concatenate([blank, points[keep], blank])
+    keep = is_letter.copy()
+    keep[1:] |= is_letter[:-1]
+    blank, points = np.array([32], np.uint32), points[keep]
+    points = np.concatenate([blank, points[:-1] if points[-1] == 32 else points, blank])
     counts = np.zeros(DIMS, np.int64)
     mixed = [points * np.uint32(m) for m in MULTIPLIERS]
     for n in GRAMS:

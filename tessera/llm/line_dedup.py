@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import BLANKS, WORD, stored, text_of
+from .common import BLANKS, WORD, stored, text_of, wrapped
 
 # A line on so many distinct sites is boilerplate.
 MIN_SITES = 8
@@ -74,7 +74,8 @@ def boilerplate(found: DataFrame, sketches: DataFrame, min_sites: int = MIN_SITE
 
 
 def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
-    """`docs` with text rewritten, and n_lines, n_removed: every row once, other columns kept.
+    """`docs` with text rewritten, and n_lines, n_removed (in place of columns so named): every row
+    once, other columns kept.
 
     A line with a word that is on `min_sites` sources or more, blanks at its ends aside, goes
     from all documents but the one with the smallest id, which keeps all its copies of it. A null
@@ -88,22 +89,19 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame
         found.join(common, "line")
         .where(~F.col("doc_id").eqNullSafe(F.col("first_doc")))
         .groupBy("dk")
-        .agg(F.collect_set("line").alias("_gone"))
-        .withColumnRenamed("dk", "_dk2")
+        .agg(F.collect_set("line").alias("gone"))
+        .withColumnRenamed("dk", "known")
     )
-    rows = docs.withColumn("_dk", doc_key())
-    rows = rows.join(hits, rows["_dk"].eqNullSafe(hits["_dk2"]), "left")
-    all_lines = F.split("text", "\n")
-    stay = F.filter(all_lines, lambda x: ~F.array_contains(F.col("_gone"), line_key(x)))
-    kept = F.when(F.col("_gone").isNull(), all_lines).otherwise(stay)
-    out = rows.withColumn("_kept", kept)
-    n = F.coalesce(F.size(all_lines), F.lit(0))
-    left = F.coalesce(F.size("_kept"), F.lit(0))
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join("_kept", "\n"))
+    rows = wrapped(docs, dk=doc_key(), text=F.col("text"), lines=F.split("text", "\n"))
+    rows = rows.join(hits, rows["dk"].eqNullSafe(hits["known"]), "left")
+    stay = F.filter("lines", lambda x: ~F.array_contains(F.col("gone"), line_key(x)))
+    rows = rows.withColumn("stay", F.when(F.col("gone").isNull(), F.col("lines")).otherwise(stay))
+    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join("stay", "\n"))
+    count = lambda c: F.coalesce(F.array_size(c), F.lit(0)).cast("bigint")
     own = [c for c in docs.columns if c not in ("text", "n_lines", "n_removed")]
-    return out.select(
-        *own,
+    return rows.select(
+        *[F.col("row")[c].alias(c) for c in own],
         text.alias("text"),
-        F.when(F.col("text").isNull(), 0).otherwise(n).cast("bigint").alias("n_lines"),
-        F.when(F.col("text").isNull(), 0).otherwise(n - left).cast("bigint").alias("n_removed"),
+        count("lines").alias("n_lines"),
+        (count("lines") - count("stay")).alias("n_removed"),
     )

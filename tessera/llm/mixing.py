@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import BLANK, WORD, bounded, order_hash, ordered_number, prefix_sum, stored, text_of
+from .common import BLANK, WORD, bounded, order_hash, ordered_number, prefix_sum, stored, text_of, wrapped
 
 # Weights repeat along the ordered sources, and how often a word may be taken.
 WEIGHTS = (5, 2, 1)
@@ -176,17 +176,19 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     key = ["doc_id", "rank", "h"]
     nth = F.dense_rank().over(Window.partitionBy(*key).orderBy("start")).alias("nth")
     known = m.docs.where("size > 0").select(*key, "start", nth).join(runs, ["rank", "start"])
-    known = known.groupBy(*key).agg(F.collect_list(F.struct("nth", "slot", "words")).alias("_runs"))
-    ranks = m.sources.select(source_key("source").alias("_s"), F.col("rank").alias("_rank"))
+    known = known.groupBy(*key).agg(F.collect_list(F.struct("nth", "slot", "words")).alias("runs"))
+    known = known.withColumnsRenamed({"doc_id": "known_id", "rank": "known_rank", "h": "known_h"})
+    ranks = m.sources.select(source_key("source").alias("s"), "rank")
     size = F.regexp_count(text_of(), F.lit(WORD)).cast("bigint")
-    rows = docs.withColumns({"_size": size, "_s": source_key("source"), "_h": F.xxhash64(text_of())}).where("_size > 0")
-    rows = rows.join(bounded(ranks), "_s")
+    rows = wrapped(docs, doc_id=F.col("doc_id"), text=F.col("text"), s=source_key("source"), h=F.xxhash64(text_of()), size=size)
     # Rows with the same id, source and text are told apart by a number.
-    equal = Window.partitionBy("doc_id", "_rank", "_h").orderBy("_size")
-    rows = rows.withColumn("_nth", F.row_number().over(equal))
-    known = known.withColumnsRenamed({"doc_id": "_id", "rank": "_rank2", "h": "_h2"})
-    match = rows["doc_id"].eqNullSafe(known["_id"]) & (rows["_rank"] == known["_rank2"]) & (rows["_h"] == known["_h2"])
-    out = rows.join(known, match).withColumn("_run", F.explode(F.expr("filter(_runs, r -> r.nth = _nth)")))
-    head = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(f"{BLANK[:-1]}*{WORD}"), F.lit(0)), F.lit(1), F.col("_run.words").cast("int")), "")
-    out = out.withColumn("text", F.when(F.col("_run.words") < F.col("_size"), head).otherwise(F.col("text")))
-    return out.repartitionByRange(F.col("_run.slot")).sortWithinPartitions("_run.slot", "doc_id").select(*docs.columns)
+    equal = Window.partitionBy("doc_id", "rank", "h").orderBy("size")
+    rows = rows.where("size > 0").join(bounded(ranks), "s").withColumn("no", F.row_number().over(equal))
+    match = rows["doc_id"].eqNullSafe(known["known_id"]) & (rows["rank"] == known["known_rank"]) & (rows["h"] == known["known_h"])
+    out = rows.join(known, match).withColumn("run", F.explode(F.expr("filter(runs, r -> r.nth = no)")))
+    each = F.regexp_extract_all("text", F.lit(f"{BLANK[:-1]}*{WORD}"), F.lit(0))
+    head = F.array_join(F.slice(each, F.lit(1), F.col("run.words").cast("int")), "")
+    out = out.withColumn("cut", F.when(F.col("run.words") < F.col("size"), head).otherwise(F.col("text")))
+    out = out.select("row", "cut", "doc_id", F.col("run.slot").alias("slot"))
+    out = out.repartitionByRange("slot").sortWithinPartitions("slot", "doc_id")
+    return out.select(*[F.col("cut" if c == "text" else f"row.`{c}`").alias(c) for c in docs.columns])

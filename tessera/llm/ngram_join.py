@@ -316,7 +316,7 @@ def one_of_each(docs: DataFrame, n: int = SHINGLE_WORDS, percent: int = PERCENT)
     first by hash. Rows without an id or without words stay."""
     found = similar_components(docs, n, percent)
     gone = stored(found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct(), "gone")
-    left = docs.join(bounded(gone), "doc_id", "left_anti")
+    left = docs.join(bounded(gone), "doc_id", "left_anti").select(*docs.columns)
     again = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     if again.isEmpty():
         return left

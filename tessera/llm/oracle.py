@@ -85,10 +85,10 @@ WITH RECURSIVE w AS (
 ), n AS (
   SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
 ), c AS (
-  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
   GROUP BY ALL
 ), e AS (
-  SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * both >= {PERCENT} * (x.n + y.n - both)
+  SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= {PERCENT} * (x.n + y.n - shared)
 ), r AS (
   SELECT doc_id, doc_id AS other FROM w
   UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.other = e.a

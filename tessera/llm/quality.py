@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import BLANKS, bounded, dealt, split_words, stored
+from .common import BLANKS, bounded, dealt, split_words, stored, wrapped
 from .token_counts import vocabulary_path
 
 # Symbols that are counted and the base limits.
@@ -191,9 +191,9 @@ def judged(docs: DataFrame, vocab: str = VOCABULARY, spread: float = SPREAD) ->
 
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The rows of `docs` that are kept. Rows of one id are known apart by a hash of their text."""
-    keyed = docs.withColumn("_k", F.struct("doc_id", F.xxhash64(F.coalesce("text", F.lit("")), F.col("lang").cast("string"))))
-    verdicts = judged(keyed.select(F.col("_k").alias("doc_id"), "text", "lang"))
-    gone = stored(verdicts.where("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "rejected")
-    side = bounded(gone)
-    return keyed.join(side, keyed["_k"].eqNullSafe(side["_gone"]), "left_anti").drop("_k")
-
+    key = F.struct("doc_id", F.xxhash64(F.coalesce("text", F.lit("")), F.col("lang").cast("string")))
+    rows = wrapped(docs, key=key)
+    verdicts = judged(docs.select(key.alias("doc_id"), "text", "lang"))
+    gone = stored(verdicts.where("not kept").select(F.col("doc_id").alias("gone")).distinct(), "rejected")
+    left = rows.join(bounded(gone), rows["key"].eqNullSafe(gone["gone"]), "left_anti")
+    return left.select("row.*")

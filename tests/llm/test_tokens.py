@@ -1,0 +1,133 @@
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+import sentencepiece
+from hypothesis import given, settings, strategies as st
+from tokenizers import Tokenizer
+
+from tessera.llm import packing, token_counts as tc
+
+PIECES = ["a", "b", "the", "ing", " ", "  ", "\n", "\t", "▁", "é", "ﬁ", "日本", "😀", "​", "\x00", "\x1c", "　", "\x85",
+          "<s>", "<unk>", "<0x0A>", "<|endoftext|>", "'s", "'ll", ",", ".", "12", "Th", "ſ", "#", "\r\n", "x" * 50]
+texts = st.lists(st.sampled_from(PIECES), max_size=30).map("".join)
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(tc.vocabulary_path(packing.VOCABULARY))
+
+
+@pytest.fixture(scope="module")
+def pieces_library():
+    return sentencepiece.SentencePieceProcessor(model_file=tc.vocabulary_path())
+
+
+def ids_of(library, text):
+    return library.encode(text or "", add_special_tokens=False).ids + [packing.END_ID]
+
+
+@settings(max_examples=1500, deadline=None)
+@given(texts)
+def test_counts_equal_the_library(pieces_library, text):
+    assert tc.merges(tc.MODEL).count(text) == len(pieces_library.encode(text))
+
+
+@settings(max_examples=1500, deadline=None)
+@given(texts)
+def test_ids_equal_the_library(library, text):
+    raw = packing.encoder(packing.VOCABULARY).ids(text)
+    assert np.frombuffer(raw, "<u2").tolist() == ids_of(library, text)
+
+
+def test_merges_one_by_one(pieces_library):
+    m = tc.merges(tc.MODEL)
+    rnd = random.Random(5)
+    for _ in range(300):
+        word = "".join(rnd.choice("etaoinshrdlu▁") for _ in range(rnd.randint(1, 30)))
+        symbols = list(word)
+        while True:
+            ranked = [(m.rank[a + b], i) for i, (a, b) in enumerate(zip(symbols, symbols[1:])) if a + b in m.rank]
+            if not ranked:
+                break
+            i = min(ranked)[1]
+            symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
+        assert m.count_chunk(word) == len(symbols)
+
+
+def test_memory_of_words_is_bounded(monkeypatch):
+    monkeypatch.setattr(tc, "MEMO_ENTRIES", 10)
+    monkeypatch.setattr(packing, "MEMO_ENTRIES", 10)
+    m, e = tc.Merges(tc.vocabulary_path()), packing.Encoder(packing.VOCABULARY)
+    text = " ".join(f"word{i}," for i in range(100))
+    assert m.count(text) == tc.merges(tc.MODEL).count(text) and len(m.spaced) <= 10
+    assert e.ids(text) == packing.encoder(packing.VOCABULARY).ids(text) and len(e) <= 11
+
+
+def test_token_counts(odd, none, sample, pieces_library):
+    for docs in (odd, sample):
+        got = sorted((tuple(r) for r in tc.token_counts(docs).collect()), key=str)
+        want = []
+        for r in docs.collect():
+            n = len(pieces_library.encode(r.text or ""))
+            want.append((r.doc_id, len((r.text or "").encode()), n, n > 4096))
+        assert got == sorted(want, key=str)
+    assert tc.token_counts(none).count() == 0
+
+
+def check_pieces(docs, library, window):
+    rows = packing.packed_pieces(docs, window=window).collect()
+    ids = defaultdict(list)
+    for r in docs.collect():
+        ids[r.doc_id].append(ids_of(library, r.text))
+    # Each id lies in one piece.
+    length = defaultdict(int)
+    for r in rows:
+        one = [x for x in ids[r.doc_id] if len(x) == r.doc_tokens]
+        cut = [zlib.crc32(np.array(x[r.start : r.start + r.length], "<u4").tobytes()) for x in one]
+        assert r.ids_crc32 in cut and r.length > 0
+        length[r.doc_id] += r.length
+    assert length == {i: sum(map(len, x)) for i, x in ids.items()}
+    # Sequences are full and without gaps.
+    at = defaultdict(list)
+    for r in rows:
+        at[r.sequence_id].append((r.offset, r.length))
+    assert sorted(at) == list(range(len(at)))
+    for s, parts in at.items():
+        end = 0
+        for offset, n in sorted(parts):
+            assert offset == end
+            end += n
+        assert end == window or s == max(at)
+    return rows
+
+
+def test_pieces(odd, none, sample, library):
+    check_pieces(odd, library, 2048)
+    check_pieces(sample, library, 2048)
+    check_pieces(sample.repartition(7), library, 64)
+    assert packing.packed_pieces(none).count() == 0
+
+
+def test_sequences_hold_the_pieces(odd, none, sample, library):
+    for docs, window in ((sample.repartition(5), 128), (odd, 2048), (sample, 2048)):
+        tokens = packing.token_table(docs)
+        order = packing.with_offsets(tokens).orderBy("at").collect()
+        stream = np.concatenate([np.frombuffer(r.ids, "<u2") for r in order])
+        assert sorted(len(ids_of(library, r.text)) for r in docs.collect()) == sorted(r.n for r in order)
+        rows = sorted(packing.packed_sequences(docs, window=window).collect())
+        assert [r.sequence_id for r in rows] == list(range(-(-len(stream) // window)))
+        assert all(len(r.ids) == r.n_tokens == window for r in rows[:-1]) and len(rows[-1].ids) == rows[-1].n_tokens
+        assert sum(sum(r.ids) for r in rows) == int(stream.sum()) and sum(r.n_tokens for r in rows) == len(stream)
+        assert sum(r.n_docs for r in rows) == packing.packed_pieces(docs, window=window).count()
+    assert packing.packed_sequences(none).count() == 0
+
+
+def test_sequences_follow_the_offsets(spark, library):
+    docs = spark.range(300).selectExpr("id as doc_id", "repeat(concat('w', id, ' '), cast(id % 40 as int)) as text").repartition(6)
+    tokens = packing.token_table(docs)
+    order = packing.with_offsets(tokens).orderBy("at").collect()
+    assert [r["at"] for r in order] == np.cumsum([0, *[r.n for r in order]])[:-1].tolist()
+    assert [np.frombuffer(r.ids, "<u2").tolist() for r in order] == [ids_of(library, d) for d in ("".join(f"w{r.doc_id} " for _ in range(r.doc_id % 40)) for r in order)]
