@@ -1,4 +1,4 @@
-"""Hash expressions: universal hashing, md5 bins, member encoding, canonical pairs."""
+"""Hash expressions: coefficients of a hash family, md5 bins, member encoding."""
 
 from __future__ import annotations
 
@@ -21,12 +21,6 @@ def coefficients(n: int, seed: int = 42, p: int = MERSENNE_31) -> list[tuple[int
     return [(rnd.randrange(1, p), rnd.randrange(1, p)) for _ in range(n)]
 
 
-def universal_hash(x: Column, a: int, b: int, m: int | None = None, p: int = MERSENNE_31) -> Column:
-    """(a*x + b) mod p mod m; m=None leaves the second modulus out."""
-    h = (F.lit(a).cast("bigint") * x + F.lit(b).cast("bigint")) % F.lit(p).cast("bigint")
-    return h if m is None else h % F.lit(m).cast("bigint")
-
-
 def encode_member(col: Column, dtype: DataType, p: int = MERSENNE_31) -> Column:
     """A bigint in [0, p) per member: integers as they are, anything else hashed."""
     if isinstance(dtype, (ShortType, IntegerType, LongType)):
@@ -44,7 +38,3 @@ def id_bin(col: Column, num_bins: int = 1000) -> Column:
 
     carry = F.lit(pow(2, 64, num_bins)).cast("bigint")
     return ((half(1).cast("bigint") * carry + half(17).cast("bigint")) % num_bins).cast("int")
-
-
-def unordered(a: Column, b: Column) -> tuple[Column, Column]:
-    return F.least(a, b), F.greatest(a, b)

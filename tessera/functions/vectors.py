@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Keeps a dimension without spread from dividing by zero.
@@ -31,6 +32,9 @@ def mahalanobis(x: np.ndarray, mean: np.ndarray, std: np.ndarray) -> np.ndarray:
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
+    sizes = pc.list_value_length(column)
+    if column.null_count or pc.any(pc.not_equal(sizes, dim)).as_py() or column.flatten().null_count:
+        raise ValueError(f"every point needs {dim} features without nulls")
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), dim)
 
 

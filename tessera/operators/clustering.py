@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import math
+import warnings
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
@@ -203,6 +204,8 @@ class State:
     metrics: list[list[int]] = field(default_factory=list)
     # Compression clusters, under any id they ever had, that ended up in a discard cluster.
     joined: list[tuple[int, int]] = field(default_factory=list)
+    # Points by which the smallest seed cluster missed `min_seed_cluster`; 0 if none did.
+    seed_shortfall: int = 0
 
     def row(self) -> list[int]:
         return [
@@ -278,13 +281,19 @@ class Bfr:
         dim = dimension(chunk)
         threshold = self.alpha * math.sqrt(max(dim, 1))
         if rnd == 1:
-            ds, cs, rest, n_rest = self._seeded(chunk, threshold)
+            ds, cs, rest, n_rest, short = self._seeded(chunk, threshold)
             before = None
         else:
             ds, cs, rest, n_rest = self._absorbed(chunk, state, threshold)
-            before = self._retained(state.round)
+            before, short = self._retained(state.round), state.seed_shortfall
         new = State(
-            rnd, ds, cs, dict(state.renamed), state.next_id, metrics=list(state.metrics)
+            rnd,
+            ds,
+            cs,
+            dict(state.renamed),
+            state.next_id,
+            metrics=list(state.metrics),
+            seed_shortfall=short,
         )
         pool = rest if before is None else rest.unionByName(before)
         self._regroup(pool, n_rest + state.retained, new, merge=rnd > 1, threshold=threshold)
@@ -294,8 +303,9 @@ class Bfr:
 
     def _seeded(
         self, chunk: DataFrame, threshold: float
-    ) -> tuple[Summary, Summary, DataFrame, int]:
-        """Centres from a hash sample; redrawn while a cluster is too small, at most max_draws."""
+    ) -> tuple[Summary, Summary, DataFrame, int, int]:
+        """Centres from a hash sample, redrawn while a cluster is too small. If `max_draws` samples
+        all have one, the best is taken, a warning is given and the state says by how much."""
         best = None
         for draw in range(self.max_draws):
             h = F.pmod(F.xxhash64("point_id", F.lit(self.seed + draw)), F.lit(1 << 20))
@@ -314,6 +324,13 @@ class Bfr:
         if best is None:
             raise ValueError("the first chunk has no points to sample")
         ds, labelled, picked = best
+        short = max(0, self.min_seed_cluster - int(ds.n.min()))
+        if short:
+            warnings.warn(
+                f"a seed cluster has {short} points less than {self.min_seed_cluster} "
+                f"in each of {self.max_draws} samples",
+                stacklevel=2,
+            )
         others = assign_nearest(chunk.where(~picked), ds, threshold)
         tagged = labelled.select(
             "point_id", "features", F.lit("DS").alias("set"), F.col("cluster").cast("bigint")
@@ -328,7 +345,7 @@ class Bfr:
         tagged = self._write(tagged, "assigned", 1)
         ds = Summary.of(cluster_stats(tagged.where("set = 'DS'"), "cluster"))
         rest = tagged.where("set is null").select("point_id", "features")
-        return ds, Summary(), rest, rest.count()
+        return ds, Summary(), rest, rest.count(), short
 
     def _absorbed(
         self, chunk: DataFrame, state: State, threshold: float

@@ -105,27 +105,27 @@ members AS (SELECT DISTINCT business_id, user_id FROM reviews),
 sizes AS (SELECT business_id, count(*) AS n FROM members GROUP BY business_id)"""
 
 
-def _signature_columns() -> list[str]:
+def _signature_columns(n: int) -> list[str]:
     return [
         f"min((CAST({a} AS BIGINT) * (user_id % {MERSENNE_31}) + {b}) % {MERSENNE_31})"
-        for a, b in coefficients(q.BANDS * q.ROWS)
+        for a, b in coefficients(n)
     ]
 
 
-def _signatures() -> str:
-    mins = ", ".join(f"{c} AS h{i}" for i, c in enumerate(_signature_columns()))
+def _signatures(n: int = q.BANDS * q.ROWS) -> str:
+    mins = ", ".join(f"{c} AS h{i}" for i, c in enumerate(_signature_columns(n)))
     return f"""{MEMBERS},
 sigs AS (SELECT business_id, count(*) AS n_members, {mins} FROM members GROUP BY business_id)"""
 
 
-def _candidates() -> str:
+def _candidates(n_bands: int = q.BANDS, n_rows: int = q.ROWS) -> str:
     bands = " UNION ALL ".join(
         f"SELECT {b} AS band, "
-        + " || ',' || ".join(f"h{b * q.ROWS + r}" for r in range(q.ROWS))
-        + " AS slice, business_id FROM sigs"
-        for b in range(q.BANDS)
+        + " || ',' || ".join(f"h{b * n_rows + r}" for r in range(n_rows))
+        + "::VARCHAR AS slice, business_id FROM sigs"
+        for b in range(n_bands)
     )
-    return f"""{_signatures()}, bands AS ({bands}),
+    return f"""{_signatures(n_bands * n_rows)}, bands AS ({bands}),
 candidates AS (SELECT DISTINCT x.business_id AS b1, y.business_id AS b2
   FROM bands x JOIN bands y ON x.band = y.band AND x.slice = y.slice
    AND x.business_id < y.business_id)"""
@@ -145,7 +145,8 @@ NEAR_DUPLICATES = rf"""WITH tokens AS (
   SELECT doc_id, list_filter(string_split_regex(lower(text), '\s+'), lambda x: x <> '') AS w
   FROM documents),
 shingles AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 1),
-    lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS shingle FROM tokens WHERE len(w) >= 3),
+    lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS shingle FROM tokens WHERE len(w) >= 3
+  UNION SELECT doc_id, array_to_string(w, ' ') FROM tokens WHERE len(w) BETWEEN 1 AND 2),
 sets AS (SELECT doc_id, count(*) AS n, md5(string_agg(shingle, chr(10) ORDER BY shingle)) AS h
          FROM shingles GROUP BY doc_id),
 reps AS (SELECT doc_id, n, min(doc_id) OVER (PARTITION BY h) AS rep FROM sets),
@@ -158,18 +159,26 @@ SELECT b1, b2, round(c / (n1 + n2 - c), 6) AS sim FROM counted
 WHERE c / (n1 + n2 - c) >= {q.DOC_JACCARD}
 UNION ALL SELECT rep, doc_id, 1.0 FROM reps WHERE doc_id <> rep"""
 
-PAIR_SUMS = f"""WITH {REVIEWS}, {TRAIN}, {TEST},
+def _pair_sums(rated: str) -> str:
+    return f"""WITH {REVIEWS}, {rated},
 sums AS (SELECT x.business_id AS b1, y.business_id AS b2, count(*) AS n,
     sum(x.stars) AS sx, sum(y.stars) AS sy, sum(x.stars * y.stars) AS sxy,
     sum(x.stars * x.stars) AS sxx, sum(y.stars * y.stars) AS syy
   FROM train x JOIN train y ON x.user_id = y.user_id AND x.business_id < y.business_id
   GROUP BY 1, 2 HAVING count(*) >= {q.MIN_CORATED})"""
 
-MODEL = f"""{PAIR_SUMS},
+
+def _model(sums: str) -> str:
+    return f"""{sums},
 model AS (SELECT b1, b2, num / sqrt(den) AS sim FROM (
   SELECT b1, b2, n * sxy - sx * sy AS num, (n * sxx - sx * sx) * (n * syy - sy * sy) AS den
   FROM sums) WHERE num > 0 AND den > 0)"""
 
+
+PAIR_SUMS = _pair_sums(f"{TRAIN}, {TEST}")
+ALL_PAIR_SUMS = _pair_sums(_rated("train"))
+MODEL = _model(PAIR_SUMS)
+
 PREDICT = f"""{MODEL},
 wanted AS (SELECT DISTINCT user_id, business_id FROM test),
 near AS (SELECT w.user_id, w.business_id, t.stars, m.sim,
@@ -188,15 +197,22 @@ predicted AS (SELECT user_id, business_id, coalesce(cf, um, g) AS stars
   LEFT JOIN user_mean USING (user_id), overall)"""
 
 
-def _edges(threshold: int) -> str:
+def _edges(threshold: int, item: str = "business_id") -> str:
     return f"""{REVIEWS},
-had AS (SELECT DISTINCT user_id AS u, business_id AS p FROM reviews),
+had AS (SELECT DISTINCT user_id AS u, {item} AS p FROM reviews),
 edges AS (SELECT x.u AS src, y.u AS dst FROM had x JOIN had y ON x.p = y.p AND x.u < y.u
           GROUP BY 1, 2 HAVING count(*) >= {threshold}),
 arcs AS (SELECT src, dst FROM edges UNION ALL SELECT dst, src FROM edges),
 nodes AS (SELECT DISTINCT src AS id FROM arcs)"""
 
 
+def block_edges(threshold: int) -> str:
+    return _edges(threshold, "(user_id // 150) * 200 + business_id % 200")
+
+
+BLOCK_EDGES = block_edges(q.BLOCK_THRESHOLD)
+
+
 def _label_rounds() -> str:
     out = ["l0 AS (SELECT id AS node, id AS label FROM nodes)"]
     for i in range(1, q.LPA_ROUNDS + 1):
@@ -210,11 +226,15 @@ def _label_rounds() -> str:
 
 LABELS = f"WITH {_edges(q.EDGE_THRESHOLD)}, {_label_rounds()}"
 
-COMPONENTS = f"""WITH RECURSIVE {_edges(q.EDGE_THRESHOLD)},
+def _components(edges: str) -> str:
+    return f"""WITH RECURSIVE {edges},
 reach AS (SELECT id, id AS other FROM nodes
           UNION SELECT reach.id, arcs.dst FROM reach JOIN arcs ON reach.other = arcs.src),
 parts AS (SELECT id AS node, min(other) AS component FROM reach GROUP BY id)"""
 
+
+COMPONENTS = _components(_edges(q.EDGE_THRESHOLD))
+
 MODULARITY = f"""{COMPONENTS},
 terms AS (SELECT x.component, sum(CASE WHEN x.component = y.component THEN 1 ELSE 0 END) AS inn,
                  count(*) AS deg
@@ -226,14 +246,12 @@ UNION ALL SELECT 'legacy', round(sum((inn - inn * inn / (2 * m)) / (4 * m * m)),
 FROM terms, total"""
 
 # Credit through an edge without back-propagation: half the share of shortest s-t paths on it.
-BETWEENNESS = f"""WITH RECURSIVE
-had AS (SELECT DISTINCT user_id AS u, date_trunc('hour', ts) AS h FROM events),
-edges AS (SELECT x.u AS src, y.u AS dst FROM had x JOIN had y ON x.h = y.h AND x.u < y.u
-          GROUP BY 1, 2 HAVING count(*) >= {q.HOUR_THRESHOLD}),
-arcs AS (SELECT src, dst FROM edges UNION ALL SELECT dst, src FROM edges),
-nodes AS (SELECT DISTINCT src AS id FROM arcs),
+# `longest` is a bound of the length of a shortest path.
+def _betweenness(edges: str, longest: str) -> str:
+    return f"""WITH RECURSIVE
+{edges},
 walk(s, v, d) AS (SELECT id, id, 0 FROM nodes
-  UNION SELECT s, dst, d + 1 FROM walk JOIN arcs ON v = src WHERE d < 30),
+  UNION SELECT s, dst, d + 1 FROM walk JOIN arcs ON v = src WHERE d < {longest}),
 dist AS (SELECT s, v, min(d) AS d FROM walk GROUP BY s, v),
 paths(s, v, d, sigma) AS (SELECT id, id, 0, CAST(1 AS DOUBLE) FROM nodes
   UNION ALL SELECT p.s, a.dst, p.d + 1, sum(p.sigma)
@@ -246,6 +264,13 @@ JOIN paths z ON z.s = x.s AND z.v = y.v AND z.d = x.d + 1 + y.d
 GROUP BY 1, 2"""
 
 
+HOUR_EDGES = f"""had AS (SELECT DISTINCT user_id AS u, date_trunc('hour', ts) AS h FROM events),
+edges AS (SELECT x.u AS src, y.u AS dst FROM had x JOIN had y ON x.h = y.h AND x.u < y.u
+          GROUP BY 1, 2 HAVING count(*) >= {q.HOUR_THRESHOLD}),
+arcs AS (SELECT src, dst FROM edges UNION ALL SELECT dst, src FROM edges),
+nodes AS (SELECT DISTINCT src AS id FROM arcs)"""
+
+
 def _points() -> str:
     def near(mult: int, m: int, shift: int) -> str:
         return (
@@ -340,6 +365,8 @@ SELECT business_id, round(avg(stars), 6) AS avg_stars FROM rated GROUP BY 1""",
 SELECT CAST(i AS INTEGER) AS partition_id, count(business_id) AS n_rows
 FROM range({q.N_PARTITIONS}) t(i) LEFT JOIN reviews ON business_id % {q.N_PARTITIONS} = i
 GROUP BY 1""",
+        "baskets_all": f"""WITH {REVIEWS}
+SELECT DISTINCT user_id AS basket_id, business_id AS item FROM reviews""",
         "baskets_by_user": _baskets("user_id", "business_id"),
         "baskets_by_item": _baskets("business_id", "user_id"),
         "frequent_itemsets": _itemsets(_order_baskets("p_type"), q.TYPE_SUPPORT, 5),
@@ -360,6 +387,20 @@ SELECT business_id, n_members, {" || ',' || ".join(f"h{i}" for i in range(q.BAND
         "near_duplicate_documents": NEAR_DUPLICATES,
         "corated_pairs": f"{PAIR_SUMS} SELECT b1, b2, n FROM sums",
         "pearson_weights": f"{MODEL} SELECT b1, b2, round(sim, 6) AS sim FROM model",
+        "corated_pairs_all": f"{ALL_PAIR_SUMS} SELECT b1, b2, n FROM sums",
+        "pearson_weights_all": f"{_model(ALL_PAIR_SUMS)} SELECT b1, b2, round(sim, 6) AS sim FROM model",
+        # At most five keys of a pair are states of lines, so the parts are joined and the states added.
+        "hot_shared_keys": f"""WITH p AS (SELECT DISTINCT l_orderkey AS o, l_partkey AS k FROM lineitem),
+s AS (SELECT DISTINCT l_orderkey AS o, 's' || l_linestatus AS k FROM lineitem
+      UNION SELECT l_orderkey, 'f' || l_returnflag FROM lineitem),
+g AS (SELECT o, list(k) AS ks FROM s GROUP BY o),
+c AS (SELECT x.o AS a, y.o AS b, count(*) AS n FROM p x JOIN p y ON x.k = y.k AND x.o < y.o GROUP BY 1, 2),
+t AS (SELECT a, b, n + len(list_intersect(ga.ks, gb.ks)) AS n FROM c JOIN g ga ON ga.o = a JOIN g gb ON gb.o = b),
+-- Pairs without a common part share states alone.
+z AS (SELECT x.o AS a, y.o AS b, count(*) AS n FROM s x JOIN s y ON x.k = y.k AND x.o < y.o GROUP BY 1, 2
+      HAVING count(*) >= {q.HOT_SHARED})
+SELECT a, b, n FROM t WHERE n >= {q.HOT_SHARED}
+UNION SELECT a, b, n FROM z WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.a = z.a AND c.b = z.b)""",
         "cf_predict": f"""{PREDICT}
 SELECT user_id, business_id, round(stars, 6) AS stars FROM predicted""",
         "cf_blend": f"""{PREDICT}
@@ -375,9 +416,21 @@ FROM test t JOIN predicted p ON t.user_id = p.user_id AND t.business_id = p.busi
 SELECT min(node) AS community, count(*) AS size FROM l{q.LPA_ROUNDS} GROUP BY label""",
         "connected_components": f"{COMPONENTS} SELECT node, component FROM parts",
         "modularity": MODULARITY,
-        "edge_betweenness": BETWEENNESS,
+        "edge_betweenness": _betweenness(HOUR_EDGES, "(SELECT count(*) FROM nodes)"),
+        "block_edges": f"WITH {BLOCK_EDGES} SELECT src, dst FROM edges",
+        "block_label_propagation": f"WITH {BLOCK_EDGES}, {_label_rounds()} SELECT node, label FROM l{q.LPA_ROUNDS}",
+        "block_components": f"{_components(BLOCK_EDGES)} SELECT node, component FROM parts",
+        # A component lies in a block of 150 customers.
+        "block_betweenness": _betweenness(BLOCK_EDGES, "150"),
+        "block_jaccard_pairs": f"""WITH {REVIEWS},
+had AS (SELECT DISTINCT user_id AS u, (user_id // 150) * 200 + business_id % 200 AS p FROM reviews),
+n AS (SELECT u, count(*) AS n FROM had GROUP BY u),
+c AS (SELECT x.u AS b1, y.u AS b2, count(*) AS c FROM had x JOIN had y ON x.p = y.p AND x.u < y.u GROUP BY 1, 2)
+SELECT b1, b2, round(c / (a.n + b.n - c), 6) AS sim FROM c JOIN n a ON a.u = b1 JOIN n b ON b.u = b2
+WHERE c / (a.n + b.n - c) >= {q.BLOCK_JACCARD}""",
         "cluster_stats": f"""WITH {_points()},
 {_stats("points WHERE kind = 'core'", "centre", 3)} {_long_stats(3)}""",
+        "cluster_stats_all": f"""WITH {_points()}, {_stats("points", "centre", 3)} {_long_stats(3)}""",
         "wide_cluster_stats": f"WITH {WIDE}, {_stats('wide', 'label', 64)} {_long_stats(64)}",
         "mahalanobis_assign": f"""WITH {_points()},
 {_stats("points WHERE kind = 'core'", "centre", 3)},
@@ -396,4 +449,7 @@ SELECT first, second, round(distance, 5) AS distance FROM far
 WHERE distance < {q.MERGE_THRESHOLD}""",
         "id_bins": f"SELECT c_custkey AS user_id, {_id_bin('c_custkey')} AS user_bin FROM customer",
         "feature_frame": FEATURE_FRAME,
+        "unseen_rows": f"""WITH {REVIEWS}, {TRAIN}, {TEST}
+SELECT count(*) AS n_rows, count(*) FILTER (user_id NOT IN (SELECT user_id FROM train)
+  OR business_id NOT IN (SELECT business_id FROM train)) AS n_unseen FROM test""",
     }

@@ -14,6 +14,8 @@ from ..operators import cf, clustering as cl, explore as ex, graph as gr
 from ..operators import itemsets as it, lsh, pairs, partitions as pt, regression as rg
 from ..session import checkpointed, shared_dir
 from ..sources import views as vw
+from ..sources.readers import stream_points
+from ..sources.writers import write_model
 from ..streaming.bfr_stream import run_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +39,10 @@ EDGE_THRESHOLD = 7
 SMALL_EDGE_THRESHOLD = 8
 HOUR_THRESHOLD = 12
 LPA_ROUNDS = 5
+BLOCK_THRESHOLD = 16
+SPARSE_BLOCK_THRESHOLD = 22
+BLOCK_JACCARD = 0.2
+HOT_SHARED = 7
 N_CLUSTER, N_CHUNKS, ALPHA = 5, 5, 3.0
 MERGE_THRESHOLD = 15.0
 NUM_BINS = 1000
@@ -106,6 +112,10 @@ def partition_profile_default(spark: SparkSession, d: str) -> DataFrame:
 # -- itemsets -------------------------------------------------------------------------------
 
 
+def baskets_all(spark: SparkSession, d: str) -> DataFrame:
+    return it.baskets(vw.user_items(spark, d), "user_id", "business_id")
+
+
 def baskets_by_user(spark: SparkSession, d: str) -> DataFrame:
     return it.baskets(vw.user_items(spark, d), "user_id", "business_id", MIN_BASKET)
 
@@ -194,6 +204,20 @@ def near_duplicate_documents(spark: SparkSession, d: str) -> DataFrame:
 # -- collaborative filtering ----------------------------------------------------------------
 
 
+def corated_pairs_all(spark: SparkSession, d: str) -> DataFrame:
+    return cf.corated_pairs(cf.ratings(vw.reviews(spark, d)), MIN_CORATED)
+
+
+def pearson_weights_all(spark: SparkSession, d: str) -> DataFrame:
+    model = cf.pearson_model(cf.ratings(vw.reviews(spark, d)), MIN_CORATED)
+    return model.withColumn("sim", _r("sim"))
+
+
+def hot_shared_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Orders that share many keys, of which some are held by half of all orders."""
+    return pairs.shared_counts(vw.order_keys(spark, d), "order_id", "key", HOT_SHARED)
+
+
 def corated_pairs(spark: SparkSession, d: str) -> DataFrame:
     return cf.corated_pairs(cf.ratings(vw.train_reviews(spark, d)), MIN_CORATED)
 
@@ -206,7 +230,9 @@ def pearson_weights(spark: SparkSession, d: str) -> DataFrame:
 def _predicted(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     rated = checkpointed(cf.ratings(vw.train_reviews(spark, d)))
     # Building and predicting are two steps with the model as a table between them.
-    model = checkpointed(cf.pearson_model(rated, MIN_CORATED))
+    path = os.path.join(shared_dir(spark), f"model-{uuid.uuid4().hex}")
+    write_model(cf.pearson_model(rated, MIN_CORATED), path)
+    model = spark.read.parquet(path)
     return cf.predict(vw.test_reviews(spark, d), rated, model, NEIGHBOURS), rated
 
 
@@ -264,6 +290,33 @@ def modularity(spark: SparkSession, d: str) -> DataFrame:
     return newman.unionByName(legacy)
 
 
+def _block_edges(spark: SparkSession, d: str, threshold: int = BLOCK_THRESHOLD) -> DataFrame:
+    return gr.corating_edges(vw.block_items(spark, d), "user_id", "item", threshold)
+
+
+def block_edges(spark: SparkSession, d: str) -> DataFrame:
+    """Edges of a graph whose degrees do not depend on the scale."""
+    return _block_edges(spark, d)
+
+
+def block_label_propagation(spark: SparkSession, d: str) -> DataFrame:
+    return gr.label_propagation(checkpointed(_block_edges(spark, d)), LPA_ROUNDS)
+
+
+def block_components(spark: SparkSession, d: str) -> DataFrame:
+    return gr.connected_components(checkpointed(_block_edges(spark, d)))
+
+
+def block_betweenness(spark: SparkSession, d: str) -> DataFrame:
+    edges = checkpointed(_block_edges(spark, d))
+    return bt.edge_betweenness(edges).withColumn("score", _r("score"))
+
+
+def block_jaccard_pairs(spark: SparkSession, d: str) -> DataFrame:
+    found = pairs.jaccard_pairs(vw.block_items(spark, d), "user_id", "item", BLOCK_JACCARD)
+    return found.withColumn("sim", _r("sim"))
+
+
 def edge_betweenness(spark: SparkSession, d: str) -> DataFrame:
     hours = vw.event_hours(spark, d)
     edges = checkpointed(gr.corating_edges(hours, "user_id", "hour", HOUR_THRESHOLD))
@@ -293,6 +346,10 @@ def cluster_stats(spark: SparkSession, d: str) -> DataFrame:
     return _flat_stats(cl.cluster_stats(core, "centre"))
 
 
+def cluster_stats_all(spark: SparkSession, d: str) -> DataFrame:
+    return _flat_stats(cl.cluster_stats(vw.points(spark, d), "centre"))
+
+
 def wide_cluster_stats(spark: SparkSession, d: str) -> DataFrame:
     return _flat_stats(cl.cluster_stats(vw.wide_points(spark, d), "label"))
 
@@ -344,7 +401,9 @@ def bfr_stream_rounds(spark: SparkSession, d: str) -> DataFrame:
     for c in range(N_CHUNKS):
         one = pts.where(F.col("chunk") == c).select(line.alias("value"))
         one.coalesce(1).write.mode("append").text(folder)
-    state = run_stream(spark, folder, bfr, f"{bfr.work_dir}/stream")
+    # Ids are numbers, as in the batch form: the seed sample is a hash of them.
+    lines = stream_points(spark, folder).withColumn("point_id", F.col("point_id").cast("bigint"))
+    state = run_stream(spark, folder, bfr, f"{bfr.work_dir}/stream", lines)
     return bfr.metrics(state)
 
 
@@ -352,14 +411,32 @@ def bfr_stream_rounds(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _frames(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    # Read five times below, as rows and as profiles of both sides.
+    """Training rows with folds, and held-out rows. In training rows the mean stars of user and
+    business leave out the row's fold; held-out rows without a match get the overall mean."""
+    # Read several times below, as rows and as profiles of both sides.
     rated = checkpointed(cf.ratings(vw.train_reviews(spark, d)))
     wanted = cf.ratings(vw.test_reviews(spark, d))
-    users = vw.users(spark, d, rated)
-    business = vw.business_profile(spark, d, rated)
     fold = rg.fold_of(["user_id", "business_id"], FOLDS)
-    train = rg.feature_frame(rated, users, business, NUM_BINS).withColumn("fold", fold)
-    return train, rg.feature_frame(wanted, users, business, NUM_BINS)
+    train = rg.feature_frame(
+        rated, vw.users(spark, d, rated), vw.business_profile(spark, d, rated), NUM_BINS
+    ).drop("user_avg_rate", "bus_avg_rate")
+    train = checkpointed(train.withColumn("fold", fold))
+    train = rg.out_of_fold_means(train, "user_id", "fold", "stars", "user_avg_rate")
+    train = rg.out_of_fold_means(train, "business_id", "fold", "stars", "bus_avg_rate")
+    val = rg.feature_frame(
+        wanted,
+        vw.users(spark, d, rated, unseen=True),
+        vw.business_profile(spark, d, rated, unseen=True),
+        NUM_BINS,
+    )
+    return train, val
+
+
+def unseen_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Held-out rows, and those whose user or business has no training rating."""
+    _, val = _frames(spark, d)
+    new = (F.col("review_count_user") == 0) | (F.col("review_count_bus") == 0)
+    return val.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(new.cast("bigint")).alias("n_unseen"))
 
 
 def id_bins(spark: SparkSession, d: str) -> DataFrame:
@@ -370,9 +447,10 @@ def id_bins(spark: SparkSession, d: str) -> DataFrame:
 
 
 def feature_frame(spark: SparkSession, d: str) -> DataFrame:
+    rated = checkpointed(cf.ratings(vw.train_reviews(spark, d)))
+    users, business = vw.users(spark, d, rated), vw.business_profile(spark, d, rated)
     return (
-        _frames(spark, d)[0]
-        .drop("fold")
+        rg.feature_frame(rated, users, business, NUM_BINS)
         .withColumn("user_avg_rate", _r("user_avg_rate"))
         .withColumn("bus_avg_rate", _r("bus_avg_rate"))
     )
@@ -420,6 +498,7 @@ REGISTRY: dict[str, Query] = {
         item_averages,
         partition_profile_keyed,
         partition_profile_default,
+        baskets_all,
         baskets_by_user,
         baskets_by_item,
         frequent_itemsets,
@@ -432,7 +511,10 @@ REGISTRY: dict[str, Query] = {
         jaccard_pairs_exact,
         near_duplicate_documents,
         corated_pairs,
+        corated_pairs_all,
         pearson_weights,
+        pearson_weights_all,
+        hot_shared_keys,
         cf_predict,
         cf_blend,
         cf_rmse,
@@ -442,9 +524,15 @@ REGISTRY: dict[str, Query] = {
         label_communities,
         connected_components,
         modularity,
+        block_edges,
+        block_label_propagation,
+        block_components,
+        block_betweenness,
+        block_jaccard_pairs,
         edge_betweenness,
         girvan_newman,
         cluster_stats,
+        cluster_stats_all,
         wide_cluster_stats,
         mahalanobis_assign,
         cs_merge_pairs,
@@ -453,6 +541,7 @@ REGISTRY: dict[str, Query] = {
         bfr_stream_rounds,
         id_bins,
         feature_frame,
+        unseen_rows,
         linreg_rmse,
         pca_linreg_cv,
         nonneg_linreg,

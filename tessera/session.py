@@ -18,6 +18,8 @@ def get_session(app: str = "tessera", master: str | None = None, **conf: str) ->
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         # A small partition can stand for a lot of work here: pairs and paths fan out.
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+        # Checkpoints go when nothing refers to them any more.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )

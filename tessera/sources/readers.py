@@ -97,9 +97,18 @@ def stream_points(spark: SparkSession, path: str) -> DataFrame:
 
 
 def chunk_paths(spark: SparkSession, folder: str) -> list[str]:
-    """File paths of a chunk folder in name order. Only the listing is read, not the content."""
-    rows = spark.read.format("binaryFile").load(folder).select("path").collect()
-    return sorted(r.path for r in rows)
+    """What makes up the rounds of a chunk folder, in name order: the files in it, or where it
+    has folders, each of these. Files are listed, not read, and one name per round comes back."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    parent = F.regexp_extract("path", "^(.*)/[^/]*$", 1)
+    direct = parent.endswith(folder.split("://")[-1].rstrip("/"))
+    rounds = files.select(F.when(direct, F.col("path")).otherwise(parent).alias("round"))
+    return sorted(r["round"] for r in rounds.distinct().collect())
+
+
+def read_chunks(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """The points of each round, in the order of the rounds' names."""
+    return [read_points(spark, p) for p in chunk_paths(spark, folder)]
 
 
 def read_stop_words(spark: SparkSession, path: str) -> DataFrame:

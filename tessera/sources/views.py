@@ -121,15 +121,34 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doc_shingles(spark: SparkSession, sf_dir: str, n: int = 3) -> DataFrame:
-    """(doc_id, shingle): distinct word n-grams of the whole text."""
+    """(doc_id, shingle): distinct word n-grams of the whole text; a shorter text is one."""
     tokens = documents(spark, sf_dir).select(
         "doc_id", non_empty_words(F.col("text")).alias("tokens")
     )
     return tokens.select("doc_id", F.explode(ngrams(F.col("tokens"), n)).alias("shingle"))
 
 
-def users(spark: SparkSession, sf_dir: str, rated: DataFrame) -> DataFrame:
-    """Customer columns with review count and mean stars."""
+def block_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(user_id, item), distinct: customers in blocks of 150, each with 200 items of its own. How often
+    two customers of a block meet does not depend on the number of blocks."""
+    block = F.floor(F.col("user_id") / 150)
+    item = (block * 200 + F.col("business_id") % 200).alias("item")
+    return user_items(spark, sf_dir).select("user_id", item).distinct()
+
+
+def order_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(order_id, key), distinct: the parts of an order and its line states. The states are held by
+    half of all orders or more, the parts by few."""
+    li = table(spark, sf_dir, "lineitem")
+    parts = li.select(F.col("l_orderkey").alias("order_id"), F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("key"))
+    states = li.select("l_orderkey", F.concat(F.lit("s"), "l_linestatus"))
+    flags = li.select("l_orderkey", F.concat(F.lit("f"), "l_returnflag"))
+    return parts.union(states).union(flags).distinct()
+
+
+def users(spark: SparkSession, sf_dir: str, rated: DataFrame, unseen: bool = False) -> DataFrame:
+    """Customer columns with review count and mean stars; with `unseen`, customers without ratings
+    too, with no reviews and the mean of all stars."""
     per = rated.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("review_count_user"), F.avg("stars").alias("user_avg_rate")
     )
@@ -138,11 +157,13 @@ def users(spark: SparkSession, sf_dir: str, rated: DataFrame) -> DataFrame:
         F.col("c_acctbal").alias("acctbal"),
         F.col("c_nationkey").alias("nationkey"),
     )
-    return c.join(per, "user_id")
+    return _with_means(c, per, "user_id", rated, unseen)
 
 
-def business_profile(spark: SparkSession, sf_dir: str, rated: DataFrame) -> DataFrame:
-    """Part columns with review count and mean stars."""
+def business_profile(
+    spark: SparkSession, sf_dir: str, rated: DataFrame, unseen: bool = False
+) -> DataFrame:
+    """Part columns with review count and mean stars; `unseen` as for users."""
     per = rated.groupBy("business_id").agg(
         F.count(F.lit(1)).alias("review_count_bus"), F.avg("stars").alias("bus_avg_rate")
     )
@@ -151,4 +172,14 @@ def business_profile(spark: SparkSession, sf_dir: str, rated: DataFrame) -> Data
         F.col("p_retailprice").alias("retailprice"),
         F.col("p_size").alias("size"),
     )
-    return p.join(per, "business_id")
+    return _with_means(p, per, "business_id", rated, unseen)
+
+
+def _with_means(
+    rows: DataFrame, per: DataFrame, key: str, rated: DataFrame, unseen: bool
+) -> DataFrame:
+    if not unseen:
+        return rows.join(per, key)
+    _, count, mean = per.columns
+    overall = rated.agg(F.avg("stars")).first()[0] or 0.0
+    return rows.join(per, key, "left").na.fill({count: 0, mean: float(overall)})

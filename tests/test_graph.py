@@ -106,8 +106,8 @@ def test_betweenness_by_hand(spark):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_betweenness_equals_closed_form(spark, seed):
     edges = _random_edges(seed)
-    for batches in (1, 3):
-        rows = bt.edge_betweenness(_frame(spark, edges), batches).collect()
+    for given in ({"batches": 1}, {"batches": 3}, {"work_rows": 50}):
+        rows = bt.edge_betweenness(_frame(spark, edges), **given).collect()
         got = {(r.src, r.dst): r.score for r in rows}
         assert got == pytest.approx(_brute_betweenness(edges))
 
