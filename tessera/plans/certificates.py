@@ -52,7 +52,7 @@ def svr_certificate(spark: SparkSession, d: str) -> DataFrame:
     train = checkpointed(train)
     out = None
     for c, w, _ in rg.svr_models(train, rg.FEATURES, "stars", "fold", q.FOLDS):
-        one = _gap_rows(rg.svr_gaps(train, rg.FEATURES, "stars", w, c)).withColumn("c", F.lit(c))
+        one = _gap_rows(rg.svr_gaps(train, rg.FEATURES, "stars", w, c), digits=5).withColumn("c", F.lit(c))
         out = one if out is None else out.unionByName(one)
     return out
 
