@@ -389,18 +389,14 @@ SELECT business_id, n_members, {" || ',' || ".join(f"h{i}" for i in range(q.BAND
         "pearson_weights": f"{MODEL} SELECT b1, b2, round(sim, 6) AS sim FROM model",
         "corated_pairs_all": f"{ALL_PAIR_SUMS} SELECT b1, b2, n FROM sums",
         "pearson_weights_all": f"{_model(ALL_PAIR_SUMS)} SELECT b1, b2, round(sim, 6) AS sim FROM model",
-        # At most five keys of a pair are states of lines, so the parts are joined and the states added.
+        # There are five states in all, so pairs with more common keys have a common part.
         "hot_shared_keys": f"""WITH p AS (SELECT DISTINCT l_orderkey AS o, l_partkey AS k FROM lineitem),
 s AS (SELECT DISTINCT l_orderkey AS o, 's' || l_linestatus AS k FROM lineitem
       UNION SELECT l_orderkey, 'f' || l_returnflag FROM lineitem),
 g AS (SELECT o, list(k) AS ks FROM s GROUP BY o),
-c AS (SELECT x.o AS a, y.o AS b, count(*) AS n FROM p x JOIN p y ON x.k = y.k AND x.o < y.o GROUP BY 1, 2),
-t AS (SELECT a, b, n + len(list_intersect(ga.ks, gb.ks)) AS n FROM c JOIN g ga ON ga.o = a JOIN g gb ON gb.o = b),
--- Pairs without a common part share states alone.
-z AS (SELECT x.o AS a, y.o AS b, count(*) AS n FROM s x JOIN s y ON x.k = y.k AND x.o < y.o GROUP BY 1, 2
-      HAVING count(*) >= {q.HOT_SHARED})
-SELECT a, b, n FROM t WHERE n >= {q.HOT_SHARED}
-UNION SELECT a, b, n FROM z WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.a = z.a AND c.b = z.b)""",
+c AS (SELECT x.o AS a, y.o AS b, count(*) AS n FROM p x JOIN p y ON x.k = y.k AND x.o < y.o GROUP BY 1, 2)
+SELECT a, b, n + len(list_intersect(ga.ks, gb.ks)) AS n FROM c JOIN g ga ON ga.o = a JOIN g gb ON gb.o = b
+WHERE n + len(list_intersect(ga.ks, gb.ks)) >= {q.HOT_SHARED}""",
         "cf_predict": f"""{PREDICT}
 SELECT user_id, business_id, round(stars, 6) AS stars FROM predicted""",
         "cf_blend": f"""{PREDICT}
