@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import dealt, stored, text_of
+from .common import bounded, dealt, stored, text_of
 from .token_counts import vocabulary_path
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -23,6 +23,8 @@ END_ID = 1
 # Bounds of a worker's table of encoded chunks: entries, and characters of an entry.
 MEMO_ENTRIES, MEMO_CHARS = 500_000, 40
 BATCH_ROWS = 500
+# Partitions whose offsets may be sent to every task, 16 bytes each; the ids then stay in place.
+BROADCAST_PARTS = 1_000_000
 
 
 # The blanks of the vocabulary's pattern.
@@ -145,8 +147,8 @@ def with_offsets(tokens: DataFrame) -> DataFrame:
     blocks = blocks.select("block", F.coalesce(F.sum("bt").over(over), F.lit(0)).alias("b0"))
     inside = Window.partitionBy("block").orderBy("part").rowsBetween(*before)
     base = totals.withColumn("p0", F.coalesce(F.sum("t").over(inside), F.lit(0))).join(blocks, "block")
-    base = base.select("part", (F.col("b0") + F.col("p0")).alias("base"))
-    return tokens.join(base, "part").withColumn("at", F.col("base") + F.col("start")).drop("base")
+    base = stored(base.select("part", (F.col("b0") + F.col("p0")).alias("base")), "offsets")
+    return tokens.join(bounded(base, BROADCAST_PARTS), "part").withColumn("at", F.col("base") + F.col("start")).drop("base")
 
 
 def as_ids(raw: bytes, width: int) -> bytes:
