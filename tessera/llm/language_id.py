@@ -10,7 +10,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import dealt, text_of
+from .common import bounded, dealt, stored, text_of
 
 # Hashed features: runs of 1 to 3 characters of lower-cased letters, words set off by blanks.
 DIM_BITS = 12
@@ -127,9 +127,10 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, k: int = CENTROIDS) ->
     df = np.zeros(DIMS)
     df[list(found)] = list(found.values())
     idf = np.log((1 + n) / (1 + df)) + 1
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    # One row per language, sent to every task if it is short, so that texts stay where they are.
+    sizes = stored(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
     chance = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.join(sizes, "lang").where(chance * F.col("n") < sample_rows).select("lang", "doc_id", text_of().alias("t"))
+    sample = rows.join(bounded(sizes), "lang").where(chance * F.col("n") < sample_rows).select("lang", "doc_id", text_of().alias("t"))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
