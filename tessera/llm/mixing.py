@@ -173,19 +173,18 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     m = mix(docs)
     lengths = F.sum(F.col("to_word") - F.col("from_word")).alias("words")
     runs = pieces(m).groupBy("rank", "start", "repeat").agg(F.min("slot").alias("slot"), lengths)
-    key = ["doc_id", "rank", "h"]
-    nth = F.dense_rank().over(Window.partitionBy(*key).orderBy("start")).alias("nth")
-    known = m.docs.where("size > 0").select(*key, "start", nth).join(runs, ["rank", "start"])
-    known = known.groupBy(*key).agg(F.collect_list(F.struct("nth", "slot", "words")).alias("runs"))
-    known = known.withColumnsRenamed({"doc_id": "known_id", "rank": "known_rank", "h": "known_h"})
+    # One column that is never null, so that the window and the join share their partitioning.
+    key = F.struct("doc_id", "rank", "h")
+    nth = F.dense_rank().over(Window.partitionBy("k").orderBy("start")).alias("nth")
+    known = m.docs.where("size > 0").withColumn("k", key).select("k", "rank", "start", nth).join(runs, ["rank", "start"])
+    known = known.groupBy("k").agg(F.collect_list(F.struct("nth", "slot", "words")).alias("runs"))
     ranks = m.sources.select(source_key("source").alias("s"), "rank")
     size = F.regexp_count(text_of(), F.lit(WORD)).cast("bigint")
     rows = wrapped(docs, doc_id=F.col("doc_id"), text=F.col("text"), s=source_key("source"), h=F.xxhash64(text_of()), size=size)
     # Rows with the same id, source and text are told apart by a number.
-    equal = Window.partitionBy("doc_id", "rank", "h").orderBy("size")
-    rows = rows.where("size > 0").join(bounded(ranks), "s").withColumn("no", F.row_number().over(equal))
-    match = rows["doc_id"].eqNullSafe(known["known_id"]) & (rows["rank"] == known["known_rank"]) & (rows["h"] == known["known_h"])
-    out = rows.join(known, match).withColumn("run", F.explode(F.expr("filter(runs, r -> r.nth = no)")))
+    equal = Window.partitionBy("k").orderBy("size")
+    rows = rows.where("size > 0").join(bounded(ranks), "s").withColumn("k", key).withColumn("no", F.row_number().over(equal))
+    out = rows.join(known, "k").withColumn("run", F.explode(F.expr("filter(runs, r -> r.nth = no)")))
     each = F.regexp_extract_all("text", F.lit(f"{BLANK[:-1]}*{WORD}"), F.lit(0))
     head = F.array_join(F.slice(each, F.lit(1), F.col("run.words").cast("int")), "")
     out = out.withColumn("cut", F.when(F.col("run.words") < F.col("size"), head).otherwise(F.col("text")))
