@@ -124,10 +124,14 @@ class Memo(dict):
         self.merges, self.prefix = merges, prefix
 
     def __missing__(self, word: str) -> int:
-        if word[-2:] in self.merges.inside or len(word) < 2:
-            n = self.merges.count_chunk(self.prefix + word)
+        # What no piece holds beside the character before it counts on its own, from the end on.
+        inside, count, i = self.merges.inside, self.merges.count_chunk, len(word)
+        while i > 1 and word[i - 2 : i] not in inside:
+            i -= 1
+        if i == len(word):
+            n = count(self.prefix + word)
         else:
-            n = self[word[:-1]] + self.merges.count_chunk(word[-1])
+            n = self[word[:i]] + sum(map(count, word[i:]))
         if len(word) <= MEMO_CHARS:
             if len(self) >= MEMO_ENTRIES:
                 self.clear()

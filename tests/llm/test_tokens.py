@@ -42,6 +42,12 @@ def test_ids_equal_the_library(library, text):
     assert np.frombuffer(raw, "<u2").tolist() == ids_of(library, text)
 
 
+@pytest.mark.parametrize("run", ["0123456789", "的", "日本語", "한국어", "ไทย", "█", "😀", "a1的", "the的的"])
+def test_long_runs_without_merges(pieces_library, run):
+    for text in (run * (100_000 // len(run)), "word " + run * 3000 + " word", run * 3000 + "ing"):
+        assert tc.merges(tc.MODEL).count(text) == len(pieces_library.encode(text))
+
+
 def test_merges_one_by_one(pieces_library):
     m = tc.merges(tc.MODEL)
     rnd = random.Random(5)
