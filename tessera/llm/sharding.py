@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame, functions as F, Window
 
-from .common import order_hash, prefix_sum, stored, text_of
+from .common import BUCKET_DIGITS, order_hash, prefix_sum, stored, text_of
 
 N_SHARDS = 40
-# Rounds of label propagation; they end early when nothing moves. More only cut fewer links.
-ROUNDS = 6
 
 
 def linked_rows(docs: DataFrame) -> DataFrame:
@@ -36,52 +36,82 @@ def loads(state: DataFrame, n: int) -> list[int]:
 
 
 def propagate(state: DataFrame, quota: list[int]) -> tuple[DataFrame, int]:
-    """One round over state(row, hub, shard): rows move to the shard with room that holds most
-    of their hub, if it holds more than their own does. Returns the state and the rows moved.
+    """One round over state(row, hub, shard): rows move to shards with room that hold more of their
+    hub than their own does. Returns the state and the rows moved.
+
+    A hub's weakest blocks fill the room of its strongest shards, one after the other. A block in a
+    full shard that is stronger than all with room goes to the strongest of these, if more of it
+    goes than it is ahead by. So the sum of the squares of a hub's blocks grows with every move,
+    and rounds come to an end; a round without moves has no wish left.
 
-    Where they come from and want to go is decided per (hub, shard), of which a hub has at most as
+    Where rows come from and want to go is decided per (hub, shard), of which a hub has at most as
     many as there are shards. Room is given out along running sums, so no shard exceeds its quota
-    and no group is gathered; of a block that fits in part, the first rows by hash go.
+    and no group is gathered; of a block that goes in part or to several shards, rows go by hash.
     """
     n = len(quota)
     load = loads(state, n)
     room = F.element_at(F.array(*[F.lit(q - x) for q, x in zip(quota, load)]), F.col("shard") + 1)
     blocks = state.groupBy("hub", "shard").agg(F.count(F.lit(1)).alias("n"))
-    blocks = blocks.withColumns({"room": room, "tie": F.xxhash64("hub", "shard")})
+    blocks = blocks.withColumns({"room": room.cast("bigint"), "tie": F.xxhash64("hub", "shard")})
     hub = Window.partitionBy("hub")
-    strength = F.struct("n", "tie")
-    best = F.max(F.when(F.col("room") > 0, F.struct("n", "tie", "shard", "room"))).over(hub)
+    down = hub.orderBy(F.desc("n"), F.desc("tie"), "shard").rowsBetween(Window.unboundedPreceding, -1)
+    up = hub.orderBy("n", "tie", F.desc("shard")).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumns(
+        {
+            "rank": F.count(F.lit(1)).over(down),
+            "taken": F.coalesce(F.sum(F.greatest("room", F.lit(0))).over(down), F.lit(0)),
+            "weaker": F.coalesce(F.sum("n").over(up), F.lit(0)),
+        }
+    )
+    blocks = stored(blocks, "blocks")
+    goals = blocks.where("room > 0").select(
+        "hub", F.col("shard").alias("to"), F.col("n").alias("to_n"), "room", "taken", F.col("rank").alias("to_rank")
+    )
+    pairs = blocks.select("hub", "shard", "n", "weaker", "rank").join(goals, "hub").where("rank <> to_rank")
+    rises = F.col("rank") > F.col("to_rank")
+    overlap = F.least(F.col("weaker") + F.col("n"), F.col("taken") + F.col("room")) - F.greatest("weaker", "taken")
+    # Without room in a stronger shard, `taken` is 0.
+    first = F.when(F.col("taken") == 0, F.least("n", "room"))
     wishes = (
-        blocks.withColumn("best", best)
-        .where((F.col("best.shard") != F.col("shard")) & (strength < F.struct("best.n", "best.tie")))
-        .select("hub", "shard", "n", F.col("best.shard").alias("to"), F.col("best.room").alias("room"))
-        .withColumn("_by", order_hash("hub"))
+        pairs.withColumn("wish", F.when(rises, overlap).otherwise(first))
+        .withColumn("least", F.when(rises, F.lit(0)).otherwise(F.col("n") - F.col("to_n")))
+        .where("wish > 0 and wish > least")
+        .select("hub", "shard", "n", "to", "room", "wish", "least", rises.alias("rises"), order_hash("hub").alias("_by"))
     )
+    # Moves to stronger blocks come first, so the first wish for a shard is granted in any case.
+    bucket = F.concat(F.when(F.col("rises"), "0").otherwise("1"), F.substring("_by", 1, BUCKET_DIGITS))
     granted = (
-        prefix_sum(wishes, ["to"], ["_by", "hub", "shard"], F.col("n"), "before")
-        .withColumn("grant", F.least(F.col("n"), F.col("room") - F.col("before")))
-        .where("grant > 0")
-        .select("hub", "shard", "to", "n", "grant")
+        prefix_sum(wishes, ["to"], ["_by", "hub", "shard"], F.col("wish"), "before", bucket)
+        .withColumn("grant", F.least(F.col("wish"), F.col("room") - F.col("before")))
+        .where("grant > 0 and grant > least")
+        .withColumn("upto", F.sum("grant").over(Window.partitionBy("hub", "shard").orderBy("to")))
+        .groupBy("hub", "shard")
+        .agg(
+            F.first("n").alias("n"),
+            F.sum("grant").alias("grant"),
+            F.sort_array(F.collect_list(F.struct("upto", "to"))).alias("ways"),
+        )
     )
     granted = stored(granted, "granted")
     joined = state.join(granted, ["hub", "shard"], "left")
-    part = joined.where("grant < n").withColumn("_by", order_hash("row"))
+    whole = F.col("grant").isNull() | ((F.col("grant") == F.col("n")) & (F.size("ways") == 1))
+    rest = joined.where(whole).withColumn("to", F.col("ways")[0]["to"])
+    part = joined.where(~whole).withColumn("_by", order_hash("row"))
     part = prefix_sum(part, ["hub", "shard"], ["_by", "row"], F.lit(1), "at")
-    part = part.withColumn("moves", F.col("at") < F.col("grant")).drop("_by", "at")
-    rest = joined.where("grant is null or grant = n").withColumn("moves", F.col("grant").isNotNull())
-    moved = rest.unionByName(part).select(
-        "row", "hub", F.when(F.col("moves"), F.col("to")).otherwise(F.col("shard")).alias("shard")
-    )
+    way = F.filter("ways", lambda w: F.col("at") < w["upto"])
+    part = part.withColumn("to", F.get(way, F.lit(0))["to"]).drop("_by", "at")
+    moved = rest.unionByName(part).select("row", "hub", F.coalesce("to", "shard").alias("shard"))
     total = granted.agg(F.coalesce(F.sum("grant"), F.lit(0))).first()[0]
     return (stored(moved, "state") if total else state), total
 
 
-def balanced_shards(docs: DataFrame, n: int = N_SHARDS, rounds: int = ROUNDS) -> DataFrame:
+def balanced_shards(docs: DataFrame, n: int = N_SHARDS, rounds: int | None = None) -> DataFrame:
     """One row per row of `docs`: doc_id, size, text_crc32, law, shard, slot, grown_shard, linked.
 
     Shards 0 to n - 1 hold row counts that differ by one at most (law `rows`). Rows start in turn
     along a hash order; rows whose text another row has too are moved by label propagation under
-    the shards' quotas; rows without links fill what is left. Null texts count as empty. Repeated
+    the shards' quotas until nothing moves, or for at most `rounds` rounds if they are given; rows
+    without links fill what is left. Null texts count as empty. Repeated
     rows, also of one id, are rows of their own, linked by their text. An empty table gives none.
     """
     rows = linked_rows(docs).withColumn("_by", order_hash("doc_id", "hub"))
@@ -92,7 +122,7 @@ def balanced_shards(docs: DataFrame, n: int = N_SHARDS, rounds: int = ROUNDS) ->
     hubs = rows.groupBy("hub").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hub")
     start = (F.col("row") % n).cast("int").alias("shard")
     state = stored(rows.join(hubs, "hub", "left_semi").select("row", "hub", start), "state")
-    for _ in range(rounds):
+    for _ in count() if rounds is None else range(rounds):
         state, moved = propagate(state, quota)
         if not moved:
             break

@@ -50,3 +50,17 @@ def test_a_group_larger_than_a_shard(spark):
 def test_reruns_agree(sample):
     one, two = (sorted(map(tuple, sharding.balanced_shards(sample, 8).collect())) for _ in range(2))
     assert one == two
+
+
+def test_hot_groups_fill_few_shards_and_small_groups_meet(spark):
+    """10,000 rows on 20 shards of 500: 1,500 copies of one text fit three shards, 700 of another two; the rest are
+    groups of 4 and rows of their own."""
+    text = "case when id < 1500 then 'hot' when id < 2200 then 'warm' when id < 6200 then concat('small ', id div 4) else concat('own ', id) end"
+    docs = spark.range(10_000).selectExpr("id as doc_id", f"{text} as text")
+    rows = check(docs, 20, sharding.balanced_shards(docs, 20))
+    groups = defaultdict(Counter)
+    for r in rows:
+        groups[r["text_crc32"]][r["shard"]] += 1
+    hot, warm = groups.pop(zlib.crc32(b"hot")), groups.pop(zlib.crc32(b"warm"))
+    split = sum(len(c) > 1 for c in groups.values())
+    assert len(hot) <= 5 and len(warm) <= 3 and split <= 3
