@@ -21,6 +21,9 @@ VOCABULARY = "piece_bpe_32k.model"
 SPREAD = 4.0
 # Quartiles are read off cells of this width; a distance counts as one cell at least.
 CELL = 0.002
+# The upper limit of byte_share is this at least, in every language and script: a clean text may quote
+# some names or emoji without pieces. Where a script has few pieces, its quartiles set a higher one.
+BYTE_SHARE = 0.3
 # A language or script with fewer measured texts uses the bands of all texts.
 MIN_BAND = 100
 MEASURES = ("chars_per_token", "byte_share", "entropy")
@@ -157,8 +160,10 @@ def bands(measured: DataFrame, spread: float = SPREAD) -> DataFrame:
     at = lambda q: F.min(F.when(F.col("upto") >= F.col("all") * q, F.col("cell")))
     q = ranked.groupBy("band", "measure").agg(at(0.25).alias("a"), at(0.75).alias("b"), F.max("all").alias("n_texts"))
     reach = F.greatest(F.col("b") - F.col("a"), F.lit(1)) * spread
+    high = (F.col("b") + 1 + reach) * CELL
+    high = F.when(F.col("measure") == "byte_share", F.greatest(high, F.lit(BYTE_SHARE))).otherwise(high)
     return q.where(F.col("band").isNull() | (F.col("n_texts") >= MIN_BAND)).select(
-        "band", "measure", ((F.col("a") - reach) * CELL).alias("low"), ((F.col("b") + 1 + reach) * CELL).alias("high")
+        "band", "measure", ((F.col("a") - reach) * CELL).alias("low"), high.alias("high")
     )
 
 

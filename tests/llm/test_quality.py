@@ -102,3 +102,15 @@ def test_kept_documents(odd, sample):
 
 def test_script_bands():
     assert quality.script_of("абв abc де") == "CYRILLIC" and quality.script_of("12 ?!") == "none"
+
+
+def test_clean_texts_with_rare_characters_are_kept(spark, sample):
+    # Shares of about 0.03 to 0.1.
+    base = [r for r in sample.where("lang = 'en'").orderBy("doc_id").collect()]
+    kept = {r.doc_id for r in quality.judged(sample).where("kept").collect()}
+    text = next(r.text for r in base if r.doc_id in kept)
+    clean = " ".join(WORD.findall(text)[:58])
+    rows = [(i, f"{clean} {c}", "en") for i, c in enumerate(("", "鑫", "🦆", "🥨", "鑫 🦆"), 10_000_000)]
+    docs = sample.select("doc_id", "text", "lang").unionByName(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    got = {r.doc_id: r for r in quality.judged(docs).where("doc_id >= 10000000").collect()}
+    assert all(r.kept and (r.byte_share > 0.01 or i == 10_000_000) for i, r in got.items()) and len(got) == 5
