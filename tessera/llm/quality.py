@@ -24,8 +24,9 @@ CELL = 0.002
 # The upper limit of byte_share is this at least, in every language and script: a clean text may quote
 # some names or emoji without pieces. Where a script has few pieces, its quartiles set a higher one.
 BYTE_SHARE = 0.3
-# A language or script with fewer measured texts uses the bands of all texts.
-MIN_BAND = 100
+# Quartiles of fewer measured texts than MIN_BAND are uncertain: the reach is 1 + WIDENING * (MIN_BAND / n - 1)
+# times as long, so it grows from one and few texts are as good as kept.
+MIN_BAND, WIDENING = 100, 25
 MEASURES = ("chars_per_token", "byte_share", "entropy")
 BATCH_ROWS = 1000
 
@@ -144,27 +145,24 @@ def fertility(codes, chars, lengths, begins, flat, is_byte) -> tuple:
 
 def bands(measured: DataFrame, spread: float = SPREAD) -> DataFrame:
     """(band, measure, low, high) from the texts that pass the base rules: `spread` quartile
-    distances beyond the quartiles. Counts per cell are summed over all texts, so the quartiles
-    are the same however the rows are dealt out, and a band is never gathered. The row
-    with a null band holds for bands with few texts."""
+    distances beyond the quartiles, more in a band with few texts. Counts per cell are summed over
+    all texts, so the quartiles are the same however the rows are dealt out, and a band is never
+    gathered."""
     cell = lambda c: F.floor(F.col(c) / CELL)
     long = measured.where(~base_failed()).select(
         "band", F.explode(F.array(*[F.struct(F.lit(c).alias("measure"), cell(c).alias("cell")) for c in MEASURES])).alias("m")
     )
     cells = long.groupBy("band", "m.measure", "m.cell").agg(F.count(F.lit(1)).alias("n"))
-    every = cells.groupBy("measure", "cell").agg(F.sum("n").alias("n")).withColumn("band", F.lit(None).cast("string"))
-    cells = cells.select("band", "measure", "cell", "n").unionByName(every.select("band", "measure", "cell", "n"))
     up = Window.partitionBy("band", "measure").orderBy("cell")
     whole = Window.partitionBy("band", "measure")
     ranked = cells.withColumns({"upto": F.sum("n").over(up), "all": F.sum("n").over(whole)})
     at = lambda q: F.min(F.when(F.col("upto") >= F.col("all") * q, F.col("cell")))
     q = ranked.groupBy("band", "measure").agg(at(0.25).alias("a"), at(0.75).alias("b"), F.max("all").alias("n_texts"))
-    reach = F.greatest(F.col("b") - F.col("a"), F.lit(1)) * spread
+    wider = 1 + WIDENING * (F.greatest(F.lit(MIN_BAND) / F.col("n_texts"), F.lit(1.0)) - 1)
+    reach = F.greatest(F.col("b") - F.col("a"), F.lit(1)) * spread * wider
     high = (F.col("b") + 1 + reach) * CELL
     high = F.when(F.col("measure") == "byte_share", F.greatest(high, F.lit(BYTE_SHARE))).otherwise(high)
-    return q.where(F.col("band").isNull() | (F.col("n_texts") >= MIN_BAND)).select(
-        "band", "measure", ((F.col("a") - reach) * CELL).alias("low"), high.alias("high")
-    )
+    return q.select("band", "measure", ((F.col("a") - reach) * CELL).alias("low"), high.alias("high"))
 
 
 def base_failed() -> Column:
@@ -181,13 +179,10 @@ def judged(docs: DataFrame, vocab: str = VOCABULARY, spread: float = SPREAD) ->
     rows = stored(measure(docs, vocab), "fertility")
     limits = stored(bands(rows, spread), "bands")
     wide = limits.groupBy("band").pivot("measure", list(MEASURES)).agg(F.struct(F.first("low").alias("low"), F.first("high").alias("high")))
-    own = wide.where("band is not null").select("band", *[F.col(c).alias(f"o_{c}") for c in MEASURES])
-    every = wide.where("band is null").select(*[F.col(c).alias(f"e_{c}") for c in MEASURES]).first()
+    own = wide.select("band", *[F.col(c).alias(f"o_{c}") for c in MEASURES])
     reason = F.lit(None).cast("string")
     for c in reversed(MEASURES):
         low, high = F.col(f"o_{c}.low"), F.col(f"o_{c}.high")
-        if every is not None:
-            low, high = F.coalesce(low, F.lit(every[f"e_{c}"]["low"])), F.coalesce(high, F.lit(every[f"e_{c}"]["high"]))
         reason = F.when((F.col(c) < low) | (F.col(c) > high), c).otherwise(reason)
     return rows.join(own, "band", "left").select(
         *NAMES, base_failed().alias("base_failed"), reason.alias("rejected_by")

@@ -114,3 +114,14 @@ def test_clean_texts_with_rare_characters_are_kept(spark, sample):
     docs = sample.select("doc_id", "text", "lang").unionByName(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
     got = {r.doc_id: r for r in quality.judged(docs).where("doc_id >= 10000000").collect()}
     assert all(r.kept and (r.byte_share > 0.01 or i == 10_000_000) for i, r in got.items()) and len(got) == 5
+
+
+def test_few_texts_are_not_judged_by_other_languages(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    # Three clean texts of a script with few pieces, in another order of words each.
+    ws = ["λόγος", "άνθρωπος", "θάλασσα", "ουρανός", "ποτάμι", "δέντρο", "χώρα", "γραφή", "βιβλίο", "φως"]
+    texts = [" ".join(ws[(i * i * k + i + i // 7) % 10] for i in range(80)) for k in (1, 2, 3)]
+    greek = spark.createDataFrame([(10_000_000 + k, t, None) for k, t in enumerate(texts)], docs.schema)
+    rows = quality.judged(docs.unionByName(greek)).where("doc_id >= 10000000").collect()
+    assert len(rows) == 3 and all(r.band == "script:GREEK" and r.rejected_by is None for r in rows)
+    assert all(r.chars_per_token < 1.06 for r in rows)
