@@ -29,17 +29,20 @@ BROADCAST_PARTS = 1_000_000
 
 # The blanks of the vocabulary's pattern.
 PATTERN_BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
-# Characters whose class no Unicode version has changed.
+BLANK_AND_SPACE = re.compile(f"[{PATTERN_BLANKS}] ")
+# Characters whose class no Unicode version has changed: of a word, and of a text.
 PLAIN = re.compile("[\x21-\x7e\u00c0-\u024f]*")
+PLAIN_TEXT = re.compile("[\t\n\r\x20-\x7e\u00c0-\u024f]*")
 
 
 class Encoder(dict):
     """Ids of texts as little-endian 16-bit numbers (32-bit ones for larger vocabularies).
 
-    The vocabulary's pattern never joins a space to a character before it, so the ids of a text
-    in which no space follows a blank are those of its words, each with the space before it. The
-    mapping keeps the ids of such words. Words of plain letters are encoded from the
-    same vocabulary's rank file, the rest and all other texts by the library itself.
+    Whole texts of plain characters are encoded from the same vocabulary's rank file. Other texts
+    are cut into words: the vocabulary's pattern never joins a space to a character before it, so
+    the ids of a text in which no space follows a blank are those of its words, each with the space
+    before it. The mapping keeps the ids of such words in two generations: a full one becomes the
+    old one, and what is used from there moves on. All else is left to the library itself.
     """
 
     def __init__(self, name: str):
@@ -49,6 +52,7 @@ class Encoder(dict):
         from tokenizers import Tokenizer
 
         super().__init__()
+        self.old: dict[str, bytes] = {}
         self.library = Tokenizer.from_file(vocabulary_path(name))
         special = self.library.get_added_tokens_decoder()
         self.special = [t.content for t in special.values()]
@@ -71,23 +75,32 @@ class Encoder(dict):
         return struct.pack(f"<{len(ids)}{self.code}", *ids)
 
     def __missing__(self, word: str) -> bytes:
-        plain = PLAIN.fullmatch(word) is not None and word not in self.special
-        last = word[-1:]
-        if last in (",", ".") and plain and word[-2:-1].isalpha():
-            # The pattern ends a word of letters before a mark.
-            found = self[word[:-1]] + self.encode(last, True)
-        else:
-            found = self.encode(" " + word, plain)
+        found = self.old.pop(word, None)
+        if found is None:
+            found = self.word(word)
         if len(word) <= MEMO_CHARS:
             if len(self) >= MEMO_ENTRIES:
+                self.old = dict(self)
                 self.clear()
             self[word] = found
         return found
 
+    def word(self, word: str) -> bytes:
+        """The ids of a space and the word after it."""
+        plain = PLAIN.fullmatch(word) is not None and word not in self.special
+        last = word[-1:]
+        if last in (",", ".") and plain and word[-2:-1].isalpha():
+            # The pattern ends a word of letters before a mark.
+            return self[word[:-1]] + self.encode(last, True)
+        return self.encode(" " + word, plain)
+
     def ids(self, text: str) -> bytes:
         """The ids of a text, the end id included."""
         end = END_ID.to_bytes(self.width, "little")
-        if any(b + " " in text for b in PATTERN_BLANKS) or any(s in text for s in self.special):
+        special = any(s in text for s in self.special)
+        if not special and PLAIN_TEXT.fullmatch(text):
+            return self.encode(text, True) + end
+        if special or BLANK_AND_SPACE.search(text):
             return self.encode(text, False) + end
         first, *words = text.split(" ")
         head = self.encode(first, PLAIN.fullmatch(first) is not None)

@@ -70,6 +70,9 @@ def test_memory_of_words_is_bounded(monkeypatch):
     text = " ".join(f"word{i}," for i in range(100))
     assert m.count(text) == tc.merges(tc.MODEL).count(text) and len(m.spaced) <= 10
     assert e.ids(text) == packing.encoder(packing.VOCABULARY).ids(text) and len(e) <= 11
+    mixed = "日本 " + text + " " + text
+    assert e.ids(mixed) == e.encode(mixed, False) + b"\x01\x00"
+    assert 0 < len(e) <= 11 and 0 < len(e.old) <= 11
 
 
 def test_token_counts(odd, none, sample, pieces_library):
