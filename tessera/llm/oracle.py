@@ -97,11 +97,66 @@ SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(other) AS compon
 FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
 """
 
+# crc32 by its eight shifts per byte; ids are decimal digits.
+CRC = """list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split({0}, ''), lambda c: ord(c)::UBIGINT)),
+  lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]),
+    lambda x, y: xor(x >> 1, 3988292384::UBIGINT * (x & 1))))"""
+
+
+def _field(column: str) -> str:
+    return f"CASE WHEN {column} IS NULL THEN '-' ELSE strlen({column}::VARCHAR) || ':' || {column} END"
+
+
+_HEAD = " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars")))
+_RUN = "FROM {0} GROUP BY tree, i // 8, n HAVING n > 1"
+MERKLE = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce('v' || lang, 'n') AS tree, sha256({_HEAD} || {_field('text')}) AS h,
+         sha256({_HEAD} || {_field("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}) AS lowered,
+         xor(4294967295::UBIGINT, {CRC.format('doc_id::VARCHAR')}) % 3 = 0 AS tampered
+  FROM documents
+), l AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id) - 1 AS i, count(*) OVER (PARTITION BY tree) AS n FROM d
+), t AS (
+  SELECT tree, 0 AS level, i, n, h FROM l
+  UNION ALL
+  SELECT tree, any_value(level) + 1, i // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY i)) {_RUN.format('t')}
+), s AS (
+  SELECT tree, level, h AS subroot FROM t WHERE n = 1
+), u AS (
+  SELECT '' AS tree, 0 AS level, row_number() OVER (ORDER BY tree) - 1 AS i, count(*) OVER () AS n, subroot AS h FROM s
+  UNION ALL
+  SELECT tree, any_value(level) + 1, i // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY i)) {_RUN.format('u')}
+), nodes AS (
+  SELECT * FROM t UNION ALL SELECT * FROM u
+), step AS (
+  SELECT doc_id, h AS leaf, tree, 0 AS level, i, n, 0 AS k, CASE WHEN tampered THEN lowered ELSE h END AS h, '' AS proof FROM l
+  UNION ALL
+  (WITH a AS (
+     SELECT p.doc_id, p.leaf, p.tree, p.level, p.i, p.n, p.k, sha256(string_agg(CASE WHEN o.i = p.i THEN p.h ELSE o.h END, '' ORDER BY o.i)) AS h,
+            p.proof AS lower, string_agg(o.h, '' ORDER BY o.i) FILTER (o.i <> p.i) AS others
+     FROM step p JOIN nodes o ON o.tree = p.tree AND o.level = p.level AND o.i // 8 = p.i // 8
+     WHERE p.n > 1 GROUP BY p.doc_id, p.leaf, p.tree, p.level, p.i, p.n, p.k, p.proof
+   )
+   SELECT doc_id, leaf, tree, level + 1, i // 8, (n + 7) // 8, k + 1, h, lower || coalesce(others, '') FROM a
+   UNION ALL
+   SELECT p.doc_id, p.leaf, '', 0, r.i, r.n, p.k + 1, p.h, p.proof
+   FROM step p JOIN (SELECT tree, row_number() OVER (ORDER BY tree) - 1 AS i, count(*) OVER () AS n FROM s) r ON r.tree = p.tree
+   WHERE p.n = 1 AND p.tree <> ''
+  )
+), r AS (
+  SELECT h AS root FROM u WHERE n = 1
+)
+SELECT p.doc_id, p.leaf, s.subroot, r.root, sha256(p.proof) AS proof_sha256, p.h AS folded_root, p.h = r.root AS verified
+FROM step p JOIN l USING (doc_id) JOIN s ON s.tree = l.tree, r WHERE p.tree = '' AND p.n = 1
+"""
+
 ORACLE = {
     "op1_line_dedup": LINE_DEDUP,
     "op6_ngram_join": NGRAM_JOIN,
     "op7_exact_dedup": EXACT_DEDUP,
     "op10_source_mixing": SOURCE_MIXING,
+    "op13_merkle_manifest": MERKLE,
 }
 
 

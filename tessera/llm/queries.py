@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, language_id, line_dedup, mixing, ngram_join, packing, quality, secret_scan, sharding, token_counts
+from . import exact_dedup, language_id, line_dedup, merkle, mixing, ngram_join, packing, quality, secret_scan, sharding, token_counts
 from .common import documents, work_path
 
 
@@ -64,6 +64,10 @@ def op10_source_mixing(spark: SparkSession, d: str) -> DataFrame:
     return out.withColumn("target", F.round("target", 6))
 
 
+def op13_merkle_manifest(spark: SparkSession, d: str) -> DataFrame:
+    return merkle.manifest(documents(spark, d)).drop("copies")
+
+
 REGISTRY = {
     f.__name__: f
     for f in (
@@ -77,5 +81,6 @@ REGISTRY = {
         op8_packing,
         op9_token_counts,
         op10_source_mixing,
+        op13_merkle_manifest,
     )
 }
