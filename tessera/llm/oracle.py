@@ -5,6 +5,7 @@ from __future__ import annotations
 from .line_dedup import MIN_SITES
 from .mixing import MAX_REPEATS, SEED, WEIGHTS
 from .ngram_join import PERCENT, SHINGLE_WORDS
+from .spelling import MIN_COUNT, MIN_LENGTH, RATIO, SLIP
 
 BLANK_CLASS = r"[\x20\x09-\x0D]"
 WORD_CLASS = r"[^\x20\x09-\x0D]+"
@@ -97,8 +98,8 @@ SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(other) AS compon
 FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
 """
 
-# crc32 by its eight shifts per byte; ids are decimal digits.
-CRC = """list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split({0}, ''), lambda c: ord(c)::UBIGINT)),
+# crc32 by its eight shifts per byte of the UTF-8 form.
+CRC = """list_reduce(list_prepend(4294967295::UBIGINT, list_transform(regexp_extract_all(hex(encode({0})), '..'), lambda c: ('0x' || c)::UBIGINT)),
   lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]),
     lambda x, y: xor(x >> 1, 3988292384::UBIGINT * (x & 1))))"""
 
@@ -151,11 +152,46 @@ SELECT p.doc_id, p.leaf, s.subroot, r.root, sha256(p.proof) AS proof_sha256, p.h
 FROM step p JOIN l USING (doc_id) JOIN s ON s.tree = l.tree, r WHERE p.tree = '' AND p.n = 1
 """
 
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+# SQL's edit distance counts bytes: the 64 letters beyond ASCII get a byte each.
+_BYTES = "translate(word, '{}', '{}')".format("".join(map(chr, range(0xC0, 0x100))), "".join(map(chr, [*range(33, 39), *range(40, 97), 123])))
+SPELLING = f"""
+WITH RECURSIVE r AS (
+  SELECT doc_id, run, count(*) AS times
+  FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWERED}, '[a-z\u00C0-\u00FF]+')) AS run FROM documents)
+  GROUP BY ALL
+), h AS (
+  SELECT run, times, length(run) AS len, xor(4294967295::UBIGINT, {CRC.format("(doc_id || ':' || run)")}) AS h FROM r
+), w AS (
+  SELECT word, sum(times)::BIGINT AS n, length(word) AS len
+  FROM (SELECT times, CASE WHEN h % {SLIP} = 0 THEN substr(run, 1, (h % len)::BIGINT) || substr(run, (h % len)::BIGINT + 2) ELSE run END AS word FROM h)
+  GROUP BY word HAVING sum(times) >= {MIN_COUNT} AND length(word) >= {MIN_LENGTH}
+), k AS (
+  -- Two words one edit apart have the same beginning or the same end.
+  SELECT *, {_BYTES} AS code, unnest([substr(word, 1, 3), '-' || substr(word, len - 2)]) AS key FROM w
+), p AS (
+  SELECT DISTINCT a.word, a.n, b.word AS other, b.n AS other_n FROM k a JOIN k b ON a.key = b.key
+  WHERE a.word <> b.word AND abs(a.len - b.len) <= 1 AND levenshtein(a.code, b.code) = 1
+), f AS (
+  SELECT word, any_value(n) AS n, count(*) AS n_near, arg_min(other, (-other_n, other)) AS best, max(other_n) AS best_n
+  FROM p GROUP BY word
+), g AS (
+  SELECT word, n_near, CASE WHEN best_n >= {RATIO} * n THEN best END AS form, CASE WHEN best_n >= {RATIO} * n THEN best_n END AS form_n FROM f
+), c AS (
+  SELECT word, word AS here, 0 AS k FROM w
+  UNION ALL
+  SELECT c.word, g.form, k + 1 FROM c JOIN g ON g.word = c.here WHERE g.form IS NOT NULL
+)
+SELECT w.word, g.form, l.root, w.n, coalesce(g.n_near, 0)::BIGINT AS n_near, g.form_n
+FROM w LEFT JOIN g USING (word) JOIN (SELECT word, arg_max(here, k) AS root FROM c GROUP BY word) l USING (word)
+"""
+
 ORACLE = {
     "op1_line_dedup": LINE_DEDUP,
     "op6_ngram_join": NGRAM_JOIN,
     "op7_exact_dedup": EXACT_DEDUP,
     "op10_source_mixing": SOURCE_MIXING,
+    "op11_spelling_variants": SPELLING,
     "op13_merkle_manifest": MERKLE,
 }
 

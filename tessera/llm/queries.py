@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, language_id, line_dedup, merkle, mixing, ngram_join, packing, quality, secret_scan, sharding, token_counts
+from . import exact_dedup, language_id, line_dedup, merkle, mixing, ngram_join, packing, quality, secret_scan, sharding, spelling, token_counts, token_files
 from .common import documents, work_path
 
 
@@ -64,6 +64,17 @@ def op10_source_mixing(spark: SparkSession, d: str) -> DataFrame:
     return out.withColumn("target", F.round("target", 6))
 
 
+def op11_spelling_variants(spark: SparkSession, d: str) -> DataFrame:
+    return spelling.variants(documents(spark, d))
+
+
+def op12_token_files(spark: SparkSession, d: str) -> DataFrame:
+    """The files are written and read back."""
+    path = work_path(spark, "token-files")
+    token_files.write_files(documents(spark, d), path)
+    return token_files.read_files(spark, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def op13_merkle_manifest(spark: SparkSession, d: str) -> DataFrame:
     return merkle.manifest(documents(spark, d)).drop("copies")
 
@@ -81,6 +92,8 @@ REGISTRY = {
         op8_packing,
         op9_token_counts,
         op10_source_mixing,
+        op11_spelling_variants,
+        op12_token_files,
         op13_merkle_manifest,
     )
 }
