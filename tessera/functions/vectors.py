@@ -17,12 +17,14 @@ def dimension(df: DataFrame, features: str = "features") -> int:
 
 
 def moment_aggregates(features: str, dim: int) -> list[Column]:
-    """Count, SUM and SUMSQ per dimension as plain sums: combined in every task before a shuffle."""
+    """Count, and per dimension the mean and the sum of squares about it (M2). Tasks combine their
+    rows to (n, mean, M2), and these are merged pairwise, so points far from zero lose no digits."""
     x = [F.col(features)[j] for j in range(dim)]
+    n = F.count(F.lit(1))
     return [
-        F.count(F.lit(1)).alias("n"),
-        F.array(*[F.sum(v) for v in x]).alias("sum"),
-        F.array(*[F.sum(v * v) for v in x]).alias("sumsq"),
+        n.alias("n"),
+        F.array(*[F.avg(v) for v in x]).alias("mean"),
+        F.array(*[F.var_pop(v) * n for v in x]).alias("m2"),
     ]
 
 
@@ -63,19 +65,10 @@ def nearest(features: Column, ids: np.ndarray, means: np.ndarray, stds: np.ndarr
     return near(features)
 
 
-def distances(mean: Column, std: Column, ids: np.ndarray, means: np.ndarray) -> Column:
-    """array<struct(cluster, distance)> from a cluster to all listed ones, by its own spread."""
-    dim = means.shape[1]
-
-    @F.arrow_udf("array<struct<cluster: bigint, distance: double>>")
-    def far(m: pa.Array, s: pa.Array) -> pa.Array:
-        centre, spread = _matrix(m, dim), np.maximum(_matrix(s, dim), MIN_STD)
-        dist = np.sqrt((((centre[:, None, :] - means[None]) / spread[:, None, :]) ** 2).sum(axis=2))
-        rows = pa.StructArray.from_arrays(
-            [pa.array(np.tile(ids, len(centre))), pa.array(dist.ravel())],
-            names=["cluster", "distance"],
-        )
-        offsets = pa.array(np.arange(len(centre) + 1, dtype=np.int32) * len(ids))
-        return pa.ListArray.from_arrays(offsets, rows)
-
-    return far(mean, std)
+def distance(mean: Column, std: Column, other: Column) -> Column:
+    """From a cluster to another one's mean, by its own spread."""
+    steps = F.transform(
+        F.arrays_zip(mean.alias("m"), std.alias("s"), other.alias("o")),
+        lambda z: F.pow((z["m"] - z["o"]) / F.greatest(z["s"], F.lit(MIN_STD)), 2),
+    )
+    return F.sqrt(F.aggregate(steps, F.lit(0.0), lambda a, x: a + x))

@@ -24,22 +24,28 @@ def corated_pairs(rated: DataFrame, min_corated: int, skew: Skew | None = None)
     )
 
 
+# Below this share of its sum of squares a variance is rounding, and so is a weight below the other.
+NO_SPREAD, NO_WEIGHT = 1e-10, 1e-12
+
+
 def pearson_model(rated: DataFrame, min_corated: int, skew: Skew | None = None) -> DataFrame:
-    """(b1, b2, sim): positive Pearson correlation over the users both items share."""
-    sums = pair_sums(rated, "business_id", "user_id", min_corated, "stars", skew).where(
+    """(b1, b2, sim): positive Pearson correlation over the users both items share.
+
+    Sums are taken of the stars' distance from the item's mean, so no digits are lost on their level.
+    Items whose shared stars are all the same have no correlation, with whole stars and others.
+    """
+    means = rated.groupBy("business_id").agg(F.avg("stars").alias("_mean"))
+    centred = rated.join(means, "business_id").select("business_id", "user_id", (F.col("stars") - F.col("_mean")).alias("stars"))
+    sums = pair_sums(centred, "business_id", "user_id", min_corated, "stars", skew).where(
         F.col("n") >= min_corated
     )
     c = F.col
     num = c("n") * c("sxy") - c("sx") * c("sy")
     va = c("n") * c("sxx") - c("sx") * c("sx")
     vb = c("n") * c("syy") - c("sy") * c("sy")
-    return (
-        sums.select(
-            c("a").alias("b1"), c("b").alias("b2"), num.alias("num"), (va * vb).alias("den")
-        )
-        .where((c("num") > 0) & (c("den") > 0))
-        .select("b1", "b2", (c("num") / F.sqrt("den")).alias("sim"))
-    )
+    spread = (va > NO_SPREAD * c("n") * c("sxx")) & (vb > NO_SPREAD * c("n") * c("syy"))
+    sim = F.least(num / F.sqrt(va * vb), F.lit(1.0))
+    return sums.where(spread).select(c("a").alias("b1"), c("b").alias("b2"), sim.alias("sim")).where(c("sim") > NO_WEIGHT)
 
 
 def averages(rated: DataFrame, key: str) -> DataFrame:

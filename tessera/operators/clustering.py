@@ -1,7 +1,7 @@
 """Bradley-Fayyad-Reina clustering over chunks of points.
 
 Points stay in tables; what is carried from chunk to chunk are cluster summaries
-(count, SUM, SUMSQ). The discard set has `n_cluster` of them. The compression set gets at most
+(count, mean, squares about the mean). The discard set has `n_cluster` of them. The compression set gets at most
 10 * n_cluster new ones per round and loses the merged ones. These summaries are the only
 values that come to the driver or travel with tasks.
 """
@@ -22,45 +22,57 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.vectors import (
     MIN_STD,
     dimension,
-    distances,
+    distance,
     mahalanobis,
     moment_aggregates,
     nearest,
 )
+from ..session import checkpointed
 from ..sources.writers import METRIC_COLUMNS
 
 
 def cluster_stats(df: DataFrame, cluster: str, features: str = "features") -> DataFrame:
-    """(cluster, n, sum, sumsq, mean, std): population spread per dimension."""
+    """(cluster, n, sum, sumsq, mean, m2, std): population spread per dimension. The spread comes
+    from m2; sum and sumsq are what SUM and SUMSQ would be."""
     dim = dimension(df, features)
     moments = df.groupBy(F.col(cluster).alias("cluster")).agg(*moment_aggregates(features, dim))
-    mean = F.transform("sum", lambda s: s / F.col("n"))
-    variance = F.zip_with(
-        "sumsq", "sum", lambda q, s: q / F.col("n") - (s / F.col("n")) * (s / F.col("n"))
+    n = F.col("n")
+    return moments.select(
+        "cluster",
+        "n",
+        F.transform("mean", lambda m: m * n).alias("sum"),
+        F.zip_with("m2", "mean", lambda q, m: q + n * m * m).alias("sumsq"),
+        "mean",
+        "m2",
+        F.transform("m2", lambda q: F.sqrt(q / n)).alias("std"),
     )
-    std = F.transform(variance, lambda v: F.sqrt(F.greatest(v, F.lit(0.0))))
-    return moments.withColumn("mean", mean).withColumn("std", std)
 
 
-@dataclass
 class Summary:
-    """Cluster summaries by id, in id order of appearance."""
+    """Cluster summaries by id, in id order of appearance: counts, means, squares about the means."""
+
+    def __init__(self, ids=None, n=None, total=None, squares=None):
+        """From sums and sums of squares; `centred` takes what doesn't lose digits."""
+        self.ids: list[int] = list(ids) if ids is not None else []
+        self.n = np.zeros(0) if n is None else np.asarray(n, dtype=float)
+        if total is None:
+            self.means = self.m2 = np.zeros((0, 0))
+        else:
+            self.means = np.asarray(total, dtype=float) / self.n[:, None]
+            self.m2 = np.maximum(np.asarray(squares, dtype=float) - self.n[:, None] * self.means**2, 0.0)
 
-    ids: list[int] = field(default_factory=list)
-    n: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    total: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
-    squares: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
+    @staticmethod
+    def centred(ids: list[int], n: np.ndarray, means: np.ndarray, m2: np.ndarray) -> Summary:
+        out = Summary(ids, n)
+        if len(ids):
+            out.means, out.m2 = np.asarray(means, dtype=float), np.asarray(m2, dtype=float)
+        return out
 
     @staticmethod
     def of(stats: DataFrame) -> Summary:
-        rows = stats.select("cluster", "n", "sum", "sumsq").orderBy("cluster").collect()
-        if not rows:
-            return Summary()
-        return Summary(
-            [int(r.cluster) for r in rows],
-            np.array([float(r.n) for r in rows]),
-            np.array([r["sum"] for r in rows], dtype=float),
-            np.array([r["sumsq"] for r in rows], dtype=float),
+        rows = stats.select("cluster", "n", "mean", "m2").orderBy("cluster").collect()
+        return Summary.centred(
+            [int(r.cluster) for r in rows], [r.n for r in rows], [r["mean"] for r in rows], [r.m2 for r in rows]
         )
 
     def __len__(self) -> int:
@@ -71,59 +83,62 @@ class Summary:
         return int(self.n.sum())
 
     @property
-    def means(self) -> np.ndarray:
-        return self.total / self.n[:, None]
+    def total(self) -> np.ndarray:
+        return self.means * self.n[:, None]
 
     @property
     def stds(self) -> np.ndarray:
-        return np.sqrt(np.maximum(self.squares / self.n[:, None] - self.means**2, 0.0))
+        return np.sqrt(self.m2 / self.n[:, None])
 
     def plus(self, other: Summary) -> Summary:
-        """Summaries add: equal ids are summed, new ids are appended."""
+        """Summaries add: equal ids are merged, new ids are appended."""
         if not len(self) or not len(other):
             return self if len(self) else other
-        return Summary(
+        return Summary.centred(
             self.ids + other.ids,
             np.concatenate([self.n, other.n]),
-            np.concatenate([self.total, other.total]),
-            np.concatenate([self.squares, other.squares]),
+            np.concatenate([self.means, other.means]),
+            np.concatenate([self.m2, other.m2]),
         ).renamed({})
 
     def renamed(self, names: dict[int, int]) -> Summary:
-        """The same summaries under new ids; those that get the same id are summed."""
+        """The same summaries under new ids; those that get the same id are merged.
+
+        The merged mean is a step from the first one's, and M2 grows by the squares between the means.
+        """
+        if not len(self):
+            return self
         new = [names.get(c, c) for c in self.ids]
         slot = {c: i for i, c in enumerate(dict.fromkeys(new))}
-        at = [slot[c] for c in new]
+        at = np.array([slot[c] for c in new])
+        first = self.means[np.unique(at, return_index=True)[1]]
         n = np.zeros(len(slot))
-        total = np.zeros((len(slot), *self.total.shape[1:]))
-        squares = np.zeros_like(total)
         np.add.at(n, at, self.n)
-        np.add.at(total, at, self.total)
-        np.add.at(squares, at, self.squares)
-        return Summary(list(slot), n, total, squares)
+        step = np.zeros_like(first)
+        np.add.at(step, at, self.n[:, None] * (self.means - first[at]))
+        means = first + step / n[:, None]
+        m2 = np.zeros_like(first)
+        np.add.at(m2, at, self.m2 + self.n[:, None] * (self.means - means[at]) ** 2)
+        return Summary.centred(list(slot), n, means, m2)
 
     def only(self, keep: Iterable[int]) -> Summary:
         wanted = set(keep)
         idx = [i for i, c in enumerate(self.ids) if c in wanted]
         if not idx:
             return Summary()
-        return Summary(
-            [self.ids[i] for i in idx], self.n[idx], self.total[idx], self.squares[idx]
-        )
+        return Summary.centred([self.ids[i] for i in idx], self.n[idx], self.means[idx], self.m2[idx])
 
     def to_dict(self) -> dict:
         return {
             "ids": self.ids,
             "n": self.n.tolist(),
-            "total": self.total.tolist(),
-            "squares": self.squares.tolist(),
+            "means": self.means.tolist(),
+            "m2": self.m2.tolist(),
         }
 
     @staticmethod
     def from_dict(d: dict) -> Summary:
-        if not d["ids"]:
-            return Summary()
-        return Summary(d["ids"], np.array(d["n"]), np.array(d["total"]), np.array(d["squares"]))
+        return Summary.centred(d["ids"], d["n"], d["means"], d["m2"])
 
 
 def nearest_cluster(features: Column, clusters: Summary) -> Column:
@@ -146,34 +161,107 @@ def assign_nearest(
 
 def close_pairs(stats: DataFrame, threshold: float) -> DataFrame:
     """(first, second, distance): cluster pairs first < second closer than the threshold, measured
-    by the spread of the first."""
-    table = Summary.of(stats)
-    far = stats.select(
+    by the spread of the first.
+
+    A join by ranges of the first dimension: a cluster's reach there is the threshold times its
+    spread. Reaches are sorted into powers of two, and a cluster looks into the three cells of its
+    power's width that its reach touches, so far clusters never meet.
+    """
+    # A little more than the reach, so that no rounding cuts a pair off.
+    reach = threshold * F.greatest(F.col("std")[0], F.lit(MIN_STD)) * (1 + 1e-9)
+    sized = stats.withColumn("reach", reach).withColumn("level", F.ceil(F.log2("reach")).cast("int"))
+    width = F.pow(F.lit(2.0), F.col("level"))
+    # There are as many levels as powers of two between the least and the greatest spread.
+    levels = [r.level for r in sized.select("level").distinct().collect()]
+    x = F.col("mean")[0]
+    lowest, highest = F.floor((x - F.col("reach")) / width), F.floor((x + F.col("reach")) / width)
+    looking = sized.select(
         F.col("cluster").alias("first"),
-        F.explode(
-            distances(F.col("mean"), F.col("std"), np.array(table.ids), table.means)
-        ).alias("other"),
+        F.col("mean").alias("m"),
+        F.col("std").alias("s"),
+        "level",
+        F.explode(F.sequence(lowest, highest)).alias("cell"),
+    )
+    at = sized.select(
+        F.col("cluster").alias("second"), F.col("mean").alias("o"), F.explode(F.array(*map(F.lit, levels)).cast("array<int>")).alias("level")
+    )
+    at = at.withColumn("cell", F.floor(F.col("o")[0] / F.pow(F.lit(2.0), F.col("level"))))
+    met = looking.join(at, ["level", "cell"]).where("first < second")
+    far = met.select("first", "second", distance(F.col("m"), F.col("s"), F.col("o")).alias("distance"))
+    return far.where(F.col("distance") < threshold)
+
+
+def greedy_matching(pairs: DataFrame) -> DataFrame:
+    """(first, second): the pairs that are taken when pairs go by in order and one is taken if both
+    its ends are still free.
+
+    In a round a pair is taken if it is the first one for both its ends: no earlier pair can take
+    them. Pairs with a taken end leave. There are as many rounds as pairs that wait for each other
+    in a row.
+    """
+    left = checkpointed(pairs.select("first", "second").distinct())
+    taken = []
+    while not left.isEmpty():
+        pair = F.struct("first", "second").alias("pair")
+        ends = left.select(F.explode(F.array("first", "second")).alias("end"), pair)
+        least = ends.groupBy("end").agg(F.min("pair").alias("pair"))
+        now = least.groupBy("pair").agg(F.count(F.lit(1)).alias("n")).where("n = 2").select("pair.*")
+        taken.append(checkpointed(now))
+        gone = taken[-1].select(F.explode(F.array("first", "second")).alias("end"))
+        left = left.join(gone, left["first"] == gone["end"], "left_anti")
+        left = checkpointed(left.join(gone, left["second"] == gone["end"], "left_anti"))
+    out = left
+    for t in taken:
+        out = out.unionByName(t)
+    return out
+
+
+def merged_clusters(stats: DataFrame, threshold: float) -> DataFrame:
+    """(cluster, merged): for every cluster the group it ends up in, after disjoint close pairs were
+    merged in index order; the group has the id of its first cluster. A table, not a driver's map."""
+    found = checkpointed(greedy_matching(close_pairs(stats, threshold)))
+    names = found.select(F.explode(F.array("first", "second")).alias("cluster"), F.col("first").alias("merged"))
+    ids = stats.select("cluster")
+    return ids.join(names, "cluster", "left").select("cluster", F.coalesce("merged", "cluster").alias("merged"))
+
+
+def merged_stats(stats: DataFrame, merged: DataFrame) -> DataFrame:
+    """`stats` after the merge, from the summaries alone: (cluster, n, mean, m2, std)."""
+    dims = F.posexplode(F.arrays_zip("mean", "m2")).alias("dim", "z")
+    parts = stats.join(merged, "cluster").select("cluster", "merged", "n", dims)
+    parts = parts.select("cluster", "merged", "dim", "n", "z.mean", "z.m2")
+    # At most two clusters meet: the step from one mean to the other gives what both lack.
+    low, high = F.min_by("mean", "cluster"), F.max_by("mean", "cluster")
+    n_high = F.when(F.count(F.lit(1)) > 1, F.max_by("n", "cluster")).otherwise(F.lit(0))
+    n = F.sum("n")
+    each = parts.groupBy("merged", "dim").agg(
+        n.alias("n"),
+        (low + (high - low) * n_high / n).alias("mean"),
+        (F.sum("m2") + (high - low) * (high - low) * n_high * (n - n_high) / n).alias("m2"),
+    )
+    rows = F.array_sort(F.collect_list(F.struct("dim", "mean", "m2")))
+    out = each.groupBy(F.col("merged").alias("cluster"), "n").agg(rows.alias("r"))
+    return out.select(
+        "cluster",
+        "n",
+        F.transform("r", lambda x: x["mean"]).alias("mean"),
+        F.transform("r", lambda x: x["m2"]).alias("m2"),
+        F.transform("r", lambda x: F.sqrt(x["m2"] / F.col("n"))).alias("std"),
     )
-    return far.select(
-        "first", F.col("other.cluster").alias("second"), F.col("other.distance").alias("distance")
-    ).where((F.col("first") < F.col("second")) & (F.col("distance") < threshold))
 
 
 def greedy_merges(clusters: Summary, threshold: float) -> list[tuple[int, int]]:
-    """Disjoint close pairs, taken in order of position; works on summaries only."""
+    """Disjoint close pairs, taken in order of position: `greedy_matching` for the summaries that a
+    run carries along."""
     means, stds = clusters.means, np.maximum(clusters.stds, MIN_STD)
-    used: set[int] = set()
+    free = np.ones(len(clusters), bool)
     out = []
     for i in range(len(clusters)):
-        if i in used:
-            continue
-        for j in range(i + 1, len(clusters)):
-            if j in used:
-                continue
-            if mahalanobis(means[i : i + 1], means[j], stds[i])[0] < threshold:
-                out.append((clusters.ids[i], clusters.ids[j]))
-                used.update((i, j))
-                break
+        close = free[i + 1 :] & (mahalanobis(means[i + 1 :], means[i], stds[i]) < threshold)
+        if free[i] and close.any():
+            j = i + 1 + int(np.argmax(close))
+            out.append((clusters.ids[i], clusters.ids[j]))
+            free[[i, j]] = False
     return out
 
 
@@ -434,7 +522,7 @@ class Bfr:
         ds, cs = state.ds, state.cs
         names: dict[int, int] = {}
         if len(ds) and len(cs):
-            threshold = self.alpha * math.sqrt(ds.total.shape[1])
+            threshold = self.alpha * math.sqrt(ds.means.shape[1])
             stds = np.maximum(ds.stds, MIN_STD)
             for cid, mean in zip(cs.ids, cs.means):
                 dist = np.sqrt((((mean - ds.means) / stds) ** 2).sum(axis=1))

@@ -57,6 +57,15 @@ def svr_certificate(spark: SparkSession, d: str) -> DataFrame:
     return out
 
 
+def rbf_svr_certificate(spark: SparkSession, d: str) -> DataFrame:
+    """The gradient of the radial fits, with kernels written out as columns, per cost and gamma."""
+    train, _ = q._frames(spark, d)
+    train = checkpointed(train)
+    models = rg.rbf_svr_models(train, rg.FEATURES, "stars", "fold", q.FOLDS)
+    rows = [(m.c, name, round(rg.rbf_svr_gap(train, rg.FEATURES, "stars", m), 5)) for name, m in models]
+    return spark.createDataFrame(rows, "c double, gamma string, gap double")
+
+
 def pca_certificate(spark: SparkSession, d: str) -> DataFrame:
     """Errors that the grid reads off sums, against the same errors summed over rows."""
     train, val = (checkpointed(f) for f in q._frames(spark, d))
@@ -154,6 +163,7 @@ REGISTRY = {
         linreg_certificate,
         nonneg_certificate,
         svr_certificate,
+        rbf_svr_certificate,
         pca_certificate,
         forest_two_means,
         bfr_round_totals,
@@ -181,6 +191,8 @@ SELECT round_id, sum(n) OVER (ORDER BY round_id)::BIGINT AS n_points, {q.N_CLUST
         "linreg_certificate": zeros,
         "nonneg_certificate": zeros + ", false AS weight_negative",
         "svr_certificate": f"SELECT f.*, c FROM ({zeros}) f, (SELECT unnest([0.1, 1.0])::DOUBLE AS c)",
+        "rbf_svr_certificate": """SELECT c, gamma, 0.0::DOUBLE AS gap FROM (SELECT unnest([0.1, 1.0, 10.0])::DOUBLE AS c),
+     (SELECT unnest(['scale', 'auto']) AS gamma)""",
         "pca_certificate": """SELECT n_components, fit_intercept, positive, 0.0::DOUBLE AS gap
 FROM (SELECT unnest([2, 3, 4]) AS n_components), (SELECT unnest([true, false]) AS fit_intercept),
      (SELECT unnest([true, false]) AS positive)""",

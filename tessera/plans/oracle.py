@@ -300,6 +300,22 @@ def _stats(source: str, cluster: str, dims: int) -> str:
     return f"stats AS (SELECT {cluster} AS cluster, count(*) AS n, {cols} FROM {source} GROUP BY 1)"
 
 
+def _small_groups() -> str:
+    return f"""{_points()},
+grouped AS (SELECT *, CASE WHEN kind = 'scatter' THEN 30 + point_id % 4
+  ELSE centre * 6 + (point_id % 3) * 2 + CASE WHEN kind = 'mini' THEN 1 ELSE 0 END END::INTEGER AS grp FROM points),
+{_stats("grouped", "grp", 3)},
+far AS (SELECT a.cluster AS first, b.cluster AS second, {_distance("b.m", "a.m", "a.s")} AS distance
+  FROM stats a JOIN stats b ON a.cluster < b.cluster),
+near AS (SELECT first, second, row_number() OVER (ORDER BY first, second) AS k FROM far
+  WHERE distance < {q.MERGE_THRESHOLD}),
+walk AS (SELECT 0::BIGINT AS k, []::INTEGER[] AS used, 0 AS first, 0 AS second, false AS taken
+  UNION ALL
+  SELECT n.k, CASE WHEN free THEN list_concat(used, [n.first, n.second]) ELSE used END, n.first, n.second, free
+  FROM (SELECT n.*, used, NOT list_contains(used, n.first) AND NOT list_contains(used, n.second) AS free
+        FROM walk w JOIN near n ON n.k = w.k + 1) n)"""
+
+
 def _long_stats(dims: int) -> str:
     return " UNION ALL ".join(
         f"SELECT cluster, {j} AS dim, n, round(m{j}, 6) AS mean, round(s{j}, 6) AS std FROM stats"
@@ -428,6 +444,20 @@ WHERE c / (a.n + b.n - c) >= {q.BLOCK_JACCARD}""",
 {_stats("points WHERE kind = 'core'", "centre", 3)} {_long_stats(3)}""",
         "cluster_stats_all": f"""WITH {_points()}, {_stats("points", "centre", 3)} {_long_stats(3)}""",
         "wide_cluster_stats": f"WITH {WIDE}, {_stats('wide', 'label', 64)} {_long_stats(64)}",
+        "cluster_stats_shifted": f"WITH {_points()} " + " UNION ALL ".join(
+            f"SELECT centre AS cluster, {j} AS dim, count(*) AS n, round(avg(f{j} + {q.SHIFT}) - {q.SHIFT}, 3) AS mean, "
+            f"round(stddev_pop(f{j} + {q.SHIFT}), 4) AS std FROM points GROUP BY centre"
+            for j in range(3)
+        ),
+        "cs_greedy_merges": f"WITH RECURSIVE {_small_groups()} SELECT first, second FROM walk WHERE taken",
+        "cs_merged_stats": f"""WITH RECURSIVE {_small_groups()},
+names AS (SELECT grp, coalesce(min(w.first), grp) AS merged FROM (SELECT DISTINCT grp FROM grouped) g
+  LEFT JOIN walk w ON w.taken AND grp IN (w.first, w.second) GROUP BY grp) """
+        + " UNION ALL ".join(
+            f"SELECT merged AS cluster, {j} AS dim, count(*) AS n, round(avg(f{j}), 6) AS mean, "
+            f"round(stddev_pop(f{j}), 6) AS std FROM grouped JOIN names USING (grp) GROUP BY merged"
+            for j in range(3)
+        ),
         "mahalanobis_assign": f"""WITH {_points()},
 {_stats("points WHERE kind = 'core'", "centre", 3)},
 near AS (SELECT point_id, CAST(cluster AS BIGINT) AS cluster, {_distance("f", "m", "s")} AS distance,
@@ -435,6 +465,12 @@ near AS (SELECT point_id, CAST(cluster AS BIGINT) AS cluster, {_distance("f", "m
   FROM points, stats)
 SELECT point_id, CASE WHEN distance < {threshold} THEN cluster END AS cluster,
   round(distance, 5) AS distance FROM near WHERE rn = 1""",
+        "mahalanobis_assign_shifted": f"""WITH {_points()},
+{_stats("points WHERE kind = 'core'", "centre", 3)},
+near AS (SELECT point_id, CAST(cluster AS BIGINT) AS cluster, {_distance("f", "m", "s")} AS distance,
+  row_number() OVER (PARTITION BY point_id ORDER BY {_distance("f", "m", "s")}, cluster) AS rn
+  FROM points, stats)
+SELECT point_id, CASE WHEN distance < {threshold} THEN cluster END AS cluster FROM near WHERE rn = 1""",
         "cs_merge_pairs": f"""WITH {_points()},
 grouped AS (SELECT *, centre * 2 + CASE WHEN kind = 'mini' THEN 1 ELSE 0 END AS grp
             FROM points WHERE kind <> 'scatter'),

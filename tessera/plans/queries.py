@@ -45,6 +45,8 @@ BLOCK_JACCARD = 0.2
 HOT_SHARED = 7
 N_CLUSTER, N_CHUNKS, ALPHA = 5, 5, 3.0
 MERGE_THRESHOLD = 15.0
+# Takes points far from zero, where sums of squares lose all digits of a spread.
+SHIFT = 1e8
 NUM_BINS = 1000
 FOLDS = 5
 
@@ -354,6 +356,42 @@ def wide_cluster_stats(spark: SparkSession, d: str) -> DataFrame:
     return _flat_stats(cl.cluster_stats(vw.wide_points(spark, d), "label"))
 
 
+def _shifted(points: DataFrame) -> DataFrame:
+    return points.withColumn("features", F.transform("features", lambda x: x + SHIFT))
+
+
+def cluster_stats_shifted(spark: SparkSession, d: str) -> DataFrame:
+    """Spread of points far from zero; the shift is taken off the means again."""
+    stats = cl.cluster_stats(_shifted(vw.points(spark, d)), "centre")
+    dims = F.posexplode(F.arrays_zip("mean", "std")).alias("dim", "z")
+    return stats.select("cluster", "n", dims).select(
+        "cluster", "dim", "n", _r(F.col("z.mean") - SHIFT, 3).alias("mean"), _r("z.std", 4).alias("std")
+    )
+
+
+def mahalanobis_assign_shifted(spark: SparkSession, d: str) -> DataFrame:
+    """A shift of all points changes no assignment."""
+    pts = _shifted(vw.points(spark, d))
+    core = cl.Summary.of(cl.cluster_stats(pts.where("kind = 'core'"), "centre"))
+    return cl.assign_nearest(pts, core, ALPHA * 3**0.5).select("point_id", "cluster")
+
+
+def _small_groups(spark: SparkSession, d: str) -> DataFrame:
+    """Summaries of groups of which several lie close together, scatter included."""
+    grp = F.col("centre") * 6 + (F.col("point_id") % 3) * 2 + (F.col("kind") == "mini").cast("int")
+    grp = F.when(F.col("kind") == "scatter", 30 + F.col("point_id") % 4).otherwise(grp)
+    return checkpointed(cl.cluster_stats(vw.points(spark, d).withColumn("grp", grp.cast("int")), "grp"))
+
+
+def cs_greedy_merges(spark: SparkSession, d: str) -> DataFrame:
+    return cl.greedy_matching(cl.close_pairs(_small_groups(spark, d), MERGE_THRESHOLD))
+
+
+def cs_merged_stats(spark: SparkSession, d: str) -> DataFrame:
+    stats = _small_groups(spark, d)
+    return _flat_stats(cl.merged_stats(stats, cl.merged_clusters(stats, MERGE_THRESHOLD)))
+
+
 def mahalanobis_assign(spark: SparkSession, d: str) -> DataFrame:
     pts = vw.points(spark, d)
     core = cl.Summary.of(cl.cluster_stats(pts.where("kind = 'core'"), "centre"))
@@ -462,12 +500,12 @@ def linreg_rmse(spark: SparkSession, d: str) -> DataFrame:
 
 
 def pca_linreg_cv(spark: SparkSession, d: str) -> DataFrame:
-    train, val = _frames(spark, d)
+    train, val = (checkpointed(f) for f in _frames(spark, d))
     return rg.pca_regression_grid(train, val, rg.FEATURES, "stars", "fold")
 
 
 def nonneg_linreg(spark: SparkSession, d: str) -> DataFrame:
-    train, val = _frames(spark, d)
+    train, val = (checkpointed(f) for f in _frames(spark, d))
     w, b, error = rg.nonneg_regression(train, val, rg.FEATURES, "stars")
     rows = [("intercept", float(b)), *[(f, float(x)) for f, x in zip(rg.FEATURES, w)]]
     return spark.createDataFrame([*rows, ("rmse", error)], "term string, value double")
@@ -478,6 +516,11 @@ def linear_svr(spark: SparkSession, d: str) -> DataFrame:
     return rg.linear_svr_grid(train, val, rg.FEATURES, "stars", "fold", FOLDS)
 
 
+def rbf_svr(spark: SparkSession, d: str) -> DataFrame:
+    train, val = (checkpointed(f) for f in _frames(spark, d))
+    return rg.rbf_svr_grid(train, val, rg.FEATURES, "stars", "fold", FOLDS)
+
+
 def random_forest_cv(spark: SparkSession, d: str) -> DataFrame:
     train, val = _frames(spark, d)
     return rg.random_forest_grid(train, val, rg.FEATURES, "stars", "fold", FOLDS)
@@ -534,8 +577,12 @@ REGISTRY: dict[str, Query] = {
         cluster_stats,
         cluster_stats_all,
         wide_cluster_stats,
+        cluster_stats_shifted,
         mahalanobis_assign,
+        mahalanobis_assign_shifted,
         cs_merge_pairs,
+        cs_greedy_merges,
+        cs_merged_stats,
         bfr_assign,
         bfr_rounds,
         bfr_stream_rounds,
@@ -546,6 +593,7 @@ REGISTRY: dict[str, Query] = {
         pca_linreg_cv,
         nonneg_linreg,
         linear_svr,
+        rbf_svr,
         random_forest_cv,
     )
 }

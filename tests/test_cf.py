@@ -1,3 +1,7 @@
+import random
+from collections import defaultdict
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -71,3 +75,26 @@ def test_last_rating_wins(spark):
     )
     assert _stars(cf.ratings(df)) == {("u", "b"): 3.0, ("u", "c"): 4.0}
     assert cf.averages(cf.ratings(df), "user_id").select(F.max("avg_stars")).first()[0] == 3.5
+
+
+def test_constant_items_have_no_weight(spark):
+    rnd = random.Random(3)
+    rows = []
+    for item in range(12):
+        # Every third item always gets the same star, which no binary fraction is.
+        level = rnd.choice([4.1, 3.3, 0.7, 1e6 + 0.1])
+        for user in range(9):
+            rows.append((user, item, level if item % 3 == 0 else level + rnd.choice([0.1, 0.2, 0.3, 0.7])))
+    rated = spark.createDataFrame(rows, "user_id long, business_id long, stars double").repartition(3)
+    got = {(r.b1, r.b2): r.sim for r in cf.pearson_model(rated, 3).collect()}
+    stars = defaultdict(dict)
+    for u, i, s in rows:
+        stars[i][u] = s
+    want = {}
+    for a in range(12):
+        for b in range(a + 1, 12):
+            if a % 3 and b % 3:
+                r = np.corrcoef([stars[a][u] - stars[a][0] for u in range(9)], [stars[b][u] - stars[b][0] for u in range(9)])[0, 1]
+                if r > 1e-9:
+                    want[a, b] = r
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 for k in want) and max(got.values()) <= 1.0
