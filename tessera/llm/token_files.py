@@ -13,18 +13,21 @@ Segments are rows of a table, written by Spark's own commit protocol, beside the
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
+from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .common import bounded, dealt, split_words, stored, text_of
-from .packing import BROADCAST_PARTS, PLAIN_TEXT
+from .common import bounded, dealt, stored, text_of
+from .packing import BROADCAST_PARTS
 from .token_counts import vocabulary_path
 
 VOCABULARY = "word_bpe_49k.json"
@@ -33,9 +36,8 @@ MAGIC = b"S8B1"
 BLOCK_IDS = 4096
 # A segment ends with the document that reaches this many ids.
 SEGMENT_IDS = 1 << 18
-# Bounds of a worker's table of encoded words: entries of one generation, and characters of an entry.
-MEMO_ENTRIES, MEMO_CHARS = 500_000, 40
-BATCH_ROWS = 500
+# Rows of a batch; a batch also ends at this many characters.
+BATCH_ROWS, BATCH_CHARS = 500, 1_000_000
 
 # The codes of a word and their bits, by selector. Codes without bits are zeros.
 COUNTS = np.array([240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
@@ -50,62 +52,75 @@ def _unfit(ids: np.ndarray, selector: int) -> np.ndarray:
     return ids >= (1 << width) - 1 if 0 < width < 32 else ids != 0 if width == 0 else np.zeros(len(ids), bool)
 
 
-def _selectors(ids: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each place of blocks as rows: the selector with the fewest bits per id, escapes included,
-    and how many ids its word takes, at most the `room` up to the end of the block."""
+def _selectors(ids: np.ndarray, room: np.ndarray) -> np.ndarray:
+    """For each place of blocks as rows: the selector with the fewest bits per id, escapes included.
+    A word takes its count of ids, at most the `room` up to the end of the block."""
     n = ids.shape[1]
-    best, taken = np.full(ids.shape, WHOLE, np.uint8), np.ones(ids.shape, np.int32)
-    cost = np.full(ids.shape, 64, np.float32)
-    before = np.zeros((len(ids), n + 1 + COUNTS[0]), np.int32)
-    for s, count in enumerate(COUNTS[:WHOLE]):
+    # Cost in 1/1024 bit and selector in one number: the least one is chosen.
+    best = np.full(ids.shape, 64 * 1024 * 16 + WHOLE, np.int32)
+    for s, count in enumerate(COUNTS[:WHOLE].tolist()):
+        before = np.zeros((len(ids), n + count), np.int16)
         np.cumsum(_unfit(ids, s), axis=1, out=before[:, 1 : n + 1])
-        before[:, n + 1 : n + count] = before[:, n : n + 1]
-        unfit = before[:, count : count + n] - before[:, :n]
-        takes = np.minimum(room, np.int32(count))
-        bits = (unfit * np.float32(32) + np.float32(64)) / takes
-        better = (bits < cost) & (unfit == 0) if WIDTHS[s] == 0 else bits < cost
-        best[better], cost[better], taken[better] = s, bits[better], takes[better]
-    return best, taken
+        before[:, n + 1 :] = before[:, n : n + 1]
+        unfit = before[:, count:] - before[:, :-count] if count > 1 else before[:, 1:] - before[:, :-1]
+        prices = 64 + 32 * np.arange(count + 1) if WIDTHS[s] else np.append(64, np.full(count, 1 << 16))
+        full = n - count + 1
+        whole = (prices * 1024 // count * 16 + s).astype(np.int32)
+        np.minimum(best[:, :full], whole[unfit[:, :full]], out=best[:, :full])
+        # Near the end of a block, and of the last one's ids, words are not full.
+        for rows, first in ((slice(None, -1), full), (slice(-1, None), max(0, int(room[-1, 0]) - count + 1))):
+            left = np.minimum(room[rows, first:], count)
+            part = (prices[unfit[rows, first:]] * 1024 // left * 16 + s).astype(np.int32)
+            np.minimum(best[rows, first:], part, out=best[rows, first:])
+    return (best & 15).astype(np.uint8)
 
 
 def encode(ids: np.ndarray) -> bytes:
     """A segment."""
-    ids = np.asarray(ids, np.int64)
+    ids = np.asarray(ids)
     n = len(ids)
     firsts = np.arange(0, n, BLOCK_IDS)
+    places = np.arange(len(firsts) * BLOCK_IDS)
     ends = np.repeat(np.minimum(firsts + BLOCK_IDS, n), BLOCK_IDS)
     rows = np.zeros(len(ends), np.int32 if n == 0 or ids.max() < 1 << 31 else np.int64)
     rows[:n] = ids
     # Places after the last id have no room; nothing is read there.
-    room = np.maximum(ends - np.arange(len(ends)), 1).astype(np.int32).reshape(-1, BLOCK_IDS)
-    best, taken = (x.ravel()[:n] for x in _selectors(rows.reshape(-1, BLOCK_IDS), room))
-    starts, at, following = [], 0, (np.arange(n) + taken).tolist()
-    while at < n:
-        starts.append(at)
-        at = following[at]
-    starts = np.array(starts, np.int64)
+    room = np.maximum(ends - places, 1).astype(np.int32).reshape(-1, BLOCK_IDS)
+    best = _selectors(rows.reshape(-1, BLOCK_IDS), room).ravel() if n else np.zeros(0, np.uint8)
+    # All blocks are walked through together, a word at a time.
+    after = np.append(np.minimum(places + COUNTS[best], ends), 0)
+    at, stop, steps = firsts.copy(), np.minimum(firsts + BLOCK_IDS, n), []
+    while len(at) and (at < stop).any():
+        steps.append(at)
+        at = np.where(at < stop, after[np.minimum(at, len(after) - 1)], at)
+    walked = np.stack(steps, axis=1) if steps else np.zeros((0, 0), np.int64)
+    # A block that has ended stands still at its end, where the next one begins.
+    starts = walked[walked < stop[:, None]]
     chosen = best[starts]
     words = chosen.astype(np.uint64) << np.uint64(60)
-    escaped = np.zeros(n, bool)
-    for s in np.unique(chosen):
-        rows = np.flatnonzero(chosen == s)
-        width = int(WIDTHS[s])
+    escaped = np.zeros(len(rows), bool)
+    for s in np.unique(chosen).tolist():
+        width, count = int(WIDTHS[s]), int(COUNTS[s])
         if width == 0:
             continue
-        place = starts[rows, None] + np.arange(COUNTS[s])
-        inside = place < ends[starts[rows], None]
-        place = np.minimum(place, n - 1)
-        code = np.where(inside, ids[place], 0)
+        which = np.flatnonzero(chosen == s)
+        place = starts[which, None] + np.arange(count)
+        outside = place >= ends[starts[which], None]
+        np.minimum(place, max(n - 1, 0), out=place)
+        code = rows[place].astype(np.uint64)
+        code[outside] = 0
         if s < WHOLE:
-            out = _unfit(code.ravel(), s).reshape(code.shape)
+            ones = np.uint64((1 << width) - 1)
+            out = code >= ones
             escaped[place[out]] = True
-            code[out] = (1 << width) - 1
-        shifts = np.arange(COUNTS[s], dtype=np.uint64) * np.uint64(width)
-        words[rows] |= np.bitwise_or.reduce(code.astype(np.uint64) << shifts, axis=1)
+            code[out] = ones
+        code <<= np.arange(count, dtype=np.uint64) * np.uint64(width)
+        words[which] |= np.bitwise_or.reduce(code, axis=1)
     seen = np.concatenate([[0], np.cumsum(escaped)])
     table = np.stack([np.searchsorted(starts, firsts), seen[firsts]], axis=1)
     head = struct.pack("<4s4I", MAGIC, n, len(firsts), len(words), int(seen[-1]))
-    return b"".join([head, table.astype("<u4").tobytes(), words.astype("<u8").tobytes(), ids[escaped].astype("<u4").tobytes()])
+    escapes = rows[escaped].astype("<u4")
+    return b"".join([head, table.astype("<u4").tobytes(), words.astype("<u8").tobytes(), escapes.tobytes()])
 
 
 def decode(data: bytes, first: int = 0, last: int | None = None) -> np.ndarray:
@@ -151,52 +166,89 @@ def decode(data: bytes, first: int = 0, last: int | None = None) -> np.ndarray:
     return out[first - begin : last - begin]
 
 
-class WordEncoder(dict):
+# Fixed values, from the vocabulary's pattern: contractions, then letters, a digit, or marks. Texts of
+# these characters are lower-cased by Python as by the vocabulary, and none of them is composed anew.
+LATIN = re.compile(
+    "[\t\n\r\x20-\x7e\u00a1-\u00a9\u00ab-\u00b1\u00b4\u00b6-\u00b8\u00bb\u00bf-\u012f\u0131-\u017f\u2010-\u2027\u2030-\u205e]*"
+)
+LETTER = "a-z\u00df-\u00f6\u00f8-\u017f"
+# Ends a text, and a piece.
+STOP, END = "\1", "\0"
+PIECES = re.compile(f"[{LETTER}]+|{STOP}|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^{STOP}{LETTER}0-9\t\n\r ]+")
+
+
+def byte_of_letter() -> dict[str, int]:
+    """The bytes that a vocabulary's letters stand for: printable Latin ones for themselves, the
+    others in order for the letters from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [x for x in range(256) if x not in printable]
+    return {**{chr(x): x for x in printable}, **{chr(256 + i): x for i, x in enumerate(others)}}
+
+
+def rank_table(model: dict) -> tuple[dict[bytes, int], np.ndarray]:
+    """Ranks of byte strings that make a rank-ordered encoder merge as the vocabulary does, and the
+    id of every rank.
+
+    A word's last letter is a symbol of its own there. Here it is that letter and an end mark,
+    joined before all else. The other ranks are the merges' order. Joining any neighbours that
+    make a piece is the same as the listed merges if every piece is what its own letters merge to;
+    the tests show that for all pieces.
+    """
+    suffix, letters = model["end_of_word_suffix"], byte_of_letter()
+
+    def raw(piece: str) -> bytes:
+        last = piece.endswith(suffix) and piece != suffix
+        body = piece.removesuffix(suffix) if last else piece
+        return bytes(letters[c] for c in body) + (END.encode() if last else b"")
+
+    merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+    known = set(merged)
+    single = sorted((p for p in model["vocab"] if len(p.removesuffix(suffix)) == 1 and p not in known), key=lambda p: not p.endswith(suffix))
+    if len(merged) != len(known):
+        raise ValueError("a piece has two merges")
+    pieces = [*single, *merged]
+    return {raw(p): i for i, p in enumerate(pieces)}, np.array([model["vocab"][p] for p in pieces])
+
+
+class WordEncoder:
     """Ids of texts under a vocabulary that drops blanks, as little-endian numbers of `width` bytes.
 
-    No rule of the vocabulary reaches across an ASCII blank, so a text's ids are those of its words.
-    The mapping keeps the ids of words in two generations. Words of Latin letters go straight to
-    the library's merges, other words through the whole of the library.
+    Texts of Latin letters, digits and marks are cut into pieces and merged by rank, a batch at a
+    time; others, and those that may hold a special string, are left to the library.
     """
 
     def __init__(self, name: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tiktoken
         from tokenizers import Tokenizer
 
-        super().__init__()
-        self.old: dict[str, bytes] = {}
         self.library = Tokenizer.from_file(vocabulary_path(name))
-        self.model = self.library.model
-        self.code = "H" if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "I"
-        self.width = struct.calcsize(f"<{self.code}")
-
-    def packed(self, ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}{self.code}", *ids)
-
-    def __missing__(self, word: str) -> bytes:
-        found = self.old.pop(word, None)
-        if found is None:
-            found = self.word(word)
-        if len(word) <= MEMO_CHARS:
-            if len(self) >= MEMO_ENTRIES:
-                self.old = dict(self)
-                self.clear()
-            self[word] = found
-        return found
-
-    def word(self, word: str) -> bytes:
-        if word.isascii():
-            if word.isalpha():
-                return self.packed([t.id for t in self.model.tokenize(word.lower())])
-            if word[-1] in ",." and word[:-1].isalpha():
-                # Letters and marks are pieces of their own.
-                return self[word[:-1]] + self.packed(self.library.encode(word[-1], add_special_tokens=False).ids)
-        return self.packed(self.library.encode(word, add_special_tokens=False).ids)
-
-    def ids(self, text: str) -> bytes:
-        """The ids of a text, the end id included."""
-        words = text.split() if PLAIN_TEXT.fullmatch(text) else split_words(text)
-        return b"".join(map(self.__getitem__, words)) + END_ID.to_bytes(self.width, "little")
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.width = 2 if self.library.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
+        with open(vocabulary_path(name), encoding="utf-8") as f:
+            ranks, ids = rank_table(json.load(f)["model"])
+        self.ranks = tiktoken.Encoding(name, pat_str=f"[^{END}]+{END}", mergeable_ranks=ranks, special_tokens={})
+        self.stop = ranks[(STOP + END).encode()]
+        self.id_of = ids.astype(f"<u{self.width}")
+        self.id_of[self.stop] = END_ID
+
+    def plain(self, text: str) -> bool:
+        return LATIN.fullmatch(text) is not None and not any(s in text for s in self.special)
+
+    def batch(self, texts: list[str]) -> list[bytes]:
+        """The ids of the texts, the end id of each included."""
+        plain = [self.plain(t) for t in texts]
+        marked = "".join(t + STOP for t, p in zip(texts, plain) if p)
+        cut = END.join(PIECES.findall(marked.lower())) + END
+        ranks = np.frombuffer(array("I", self.ranks.encode_ordinary(cut) if marked else []), np.uint32)
+        raw = self.id_of[ranks].tobytes()
+        stops = ((np.flatnonzero(ranks == self.stop) + 1) * self.width).tolist()
+        slices = (raw[i:j] for i, j in zip([0, *stops], stops))
+        return [next(slices) if p else self.by_library(t) for t, p in zip(texts, plain)]
+
+    def by_library(self, text: str) -> bytes:
+        ids = [*self.library.encode(text, add_special_tokens=False).ids, END_ID]
+        return np.array(ids, f"<u{self.width}").tobytes()
 
 
 _loaded: dict[str, WordEncoder] = {}
@@ -209,6 +261,18 @@ def encoder(name: str) -> WordEncoder:
     return _loaded[name]
 
 
+def in_batches(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices with bounded rows and characters of the last column; a longer text is one of its own."""
+    lengths = pc.binary_length(batch.column(batch.num_columns - 1)).to_pylist()
+    first, held = 0, 0
+    for k, n in enumerate(lengths):
+        if k > first and (k - first >= BATCH_ROWS or held + n > BATCH_CHARS):
+            yield batch.slice(first, k - first)
+            first, held = k, 0
+        held += n
+    yield batch.slice(first)
+
+
 def sort_key(doc_id, h: int) -> tuple:
     return (doc_id is not None, 0 if doc_id is None else doc_id, h)
 
@@ -231,10 +295,9 @@ def encoded(docs: DataFrame, vocabulary: str = VOCABULARY, id_col: str = "doc_id
     def encode_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(vocabulary)
         for batch in batches:
-            for k in range(0, batch.num_rows, BATCH_ROWS):
-                b = batch.slice(k, BATCH_ROWS)
+            for b in in_batches(batch):
                 part = [bisect_right(starts, sort_key(*x)) for x in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
-                found = [e.ids(t) for t in b.column(2).to_pylist()]
+                found = e.batch(b.column(2).to_pylist())
                 columns = [pa.array(part, pa.int32()), b.column(0), b.column(1), pa.array(found, pa.binary())]
                 widths = pa.array([e.width] * len(part), pa.int32())
                 yield pa.RecordBatch.from_arrays([*columns, widths], ["part", "doc_id", "h", "ids", "width"])

@@ -1,3 +1,4 @@
+import json
 import zlib
 
 import numpy as np
@@ -28,16 +29,38 @@ def ids_of(library, text):
 @settings(max_examples=1500, deadline=None)
 @given(texts)
 def test_ids_equal_the_library(library, text):
-    raw = tf.encoder(tf.VOCABULARY).ids(text)
+    (raw,) = tf.encoder(tf.VOCABULARY).batch([text])
     assert np.frombuffer(raw, "<u2").tolist() == ids_of(library, text)
 
 
-def test_memory_of_words_is_bounded(monkeypatch, library):
-    monkeypatch.setattr(tf, "MEMO_ENTRIES", 10)
-    e = tf.WordEncoder(tf.VOCABULARY)
-    text = " ".join(f"wörd{i} word, Other." for i in range(100))
-    assert np.frombuffer(e.ids(text + " " + text), "<u2").tolist() == ids_of(library, text + " " + text)
-    assert 0 < len(e) <= 11 and 0 < len(e.old) <= 11
+def test_batches_mix_kinds_of_texts(library):
+    e = tf.encoder(tf.VOCABULARY)
+    batch = ["it's A.B k Other#.", "", "<|endoftext|>x", "日本 word", " ", "don't''s 'LL “quoted” – €5", "<|start", "\x01\x00 a", "ÀÉŉſ×÷ĳ", "İ"]
+    assert [np.frombuffer(x, "<u2").tolist() for x in e.batch(batch)] == [ids_of(library, t) for t in batch]
+    assert e.batch([]) == [] and [e.plain(t) for t in batch] == [True, True, False, False, True, False, True, False, True, False]
+
+
+def test_all_plain_characters(library):
+    chars = [chr(x) for x in range(0x2100) if tf.LATIN.fullmatch(chr(x))]
+    e = tf.encoder(tf.VOCABULARY)
+    batch = [t for c in chars for t in (c, f"a{c}", f"{c}b", f"1{c}'s{c}{c} {c}")]
+    assert [np.frombuffer(x, "<u2").tolist() for x in e.batch(batch)] == [ids_of(library, t) for t in batch] and all(map(e.plain, batch))
+
+
+def test_every_piece_is_what_its_letters_merge_to():
+    """So joining neighbours by the rank of what they make equals the listed merges."""
+    with open(tf.vocabulary_path(tf.VOCABULARY), encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    order = {p: i for i, p in enumerate(pairs)}
+    assert len({a + b for a, b in pairs}) == len(pairs)
+    for piece in (a + b for a, b in pairs):
+        body, last = (piece[:-4], True) if piece.endswith("</w>") else (piece, False)
+        symbols = [*body[:-1], body[-1] + "</w>" * last]
+        while len(symbols) > 1:
+            rank, i = min((order.get(p, len(order)), i) for i, p in enumerate(zip(symbols, symbols[1:])))
+            assert rank < len(order), piece
+            symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
 
 
 @settings(max_examples=300, deadline=None)
