@@ -23,14 +23,13 @@ HEADLINE = (
     "jaccard_pairs_exact",
     "near_duplicate_documents",
     "similar_pairs_complete",
+    "similar_documents_exact",
     "block_jaccard_pairs",
     "hot_shared_keys",
     "pearson_weights",
     "pearson_weights_all",
     "cf_predict",
     "cf_blend",
-    "label_propagation",
-    "connected_components",
     "block_label_propagation",
     "block_components",
     "block_betweenness",
@@ -40,6 +39,9 @@ HEADLINE = (
     "pca_linreg_cv",
     "nonneg_linreg",
     "linear_svr",
+    "random_forest_cv",
+    "girvan_newman_certificate",
+    "cs_merged_stats",
 )
 
 ALL = {**REGISTRY, **certificates.REGISTRY}

@@ -343,6 +343,10 @@ class Bfr:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def table(self, name: str, rnd: int) -> DataFrame:
+        """A table of a round: chunk, assigned or regrouped."""
+        return self.spark.read.parquet(self._path(name, rnd))
+
     def save(self, state: State) -> None:
         row = self.spark.createDataFrame([(state.to_json(),)], "value string")
         row.coalesce(1).write.mode("overwrite").text(self._path("state", state.round))
@@ -540,8 +544,8 @@ class Bfr:
     def labels(self, state: State) -> DataFrame:
         """(point_id, cluster) after finish(): the discard cluster, or -1."""
         rounds = range(1, state.round + 1)
-        parts = [self.spark.read.parquet(self._path("assigned", r)) for r in rounds]
-        grouped = [self.spark.read.parquet(self._path("regrouped", r)) for r in rounds]
+        parts = [self.table("assigned", r) for r in rounds]
+        grouped = [self.table("regrouped", r) for r in rounds]
         kept = parts[0].where("set is not null")
         for p in parts[1:]:
             kept = kept.unionByName(p.where("set is not null"))

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.storagelevel import StorageLevel
 
 from ..session import checkpointed, small_side
+from .dictionary import numbered
 from .pairs import pair_sums, pairs_within, probe_skew
 from .partitions import partition_of
 
@@ -46,14 +47,9 @@ def _mined(rows: DataFrame, needs: DataFrame, max_len: int | None) -> DataFrame:
     support (grp, need) asked in each group.
     """
     counts = rows.groupBy("grp", "item").agg(F.count(F.lit(1)).alias("support"))
-    # The numbers follow the sort across partitions; the checkpoint keeps them as they are. An
-    # item has a number of its own in every group, so the number also tells the group.
-    singles = checkpointed(
-        counts.join(needs, "grp")
-        .where(F.col("support") >= F.col("need"))
-        .orderBy("support", "grp", "item")
-        .withColumn("code", F.monotonically_increasing_id())
-    )
+    # An item has a number of its own in every group, so the number also tells the group.
+    asked_for = counts.join(needs, "grp").where(F.col("support") >= F.col("need"))
+    singles = checkpointed(numbered(asked_for, ["support", "grp", "item"], "code"))
     names = small_side(singles, singles.count())
     kept = (
         rows.join(names, ["grp", "item"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..operators import betweenness as bt, clustering as cl, graph as gr, lsh, pairs, partitions as pt, regression as rg
+from ..operators import betweenness as bt, clustering as cl, graph as gr, lsh, pairs, partitions as pt, prefix_join, regression as rg
 from ..session import checkpointed
 from ..sources import views as vw
 from . import queries as q
@@ -61,7 +61,7 @@ def rbf_svr_certificate(spark: SparkSession, d: str) -> DataFrame:
     """The gradient of the radial fits, with kernels written out as columns, per cost and gamma."""
     train, _ = q._frames(spark, d)
     train = checkpointed(train)
-    models = rg.rbf_svr_models(train, rg.FEATURES, "stars", "fold", q.FOLDS)
+    models = rg.rbf_svr_models(train, rg.FEATURES, "stars", "fold", folds=0)
     rows = [(m.c, name, round(rg.rbf_svr_gap(train, rg.FEATURES, "stars", m), 5)) for name, m in models]
     return spark.createDataFrame(rows, "c double, gamma string, gap double")
 
@@ -109,6 +109,20 @@ def bfr_stream_totals(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("round_id", total.alias("n_points"), F.col("nof_cluster_discard").alias("n_clusters"))
 
 
+def bfr_round_kinds(spark: SparkSession, d: str) -> DataFrame:
+    """Per round and planted kind, the chunk's points that went to the discard set, and the others:
+    round groups are taken in at once, side groups and scatter are not."""
+    bfr, state = q._bfr_run(spark, d)
+    taken = None
+    for r in range(1, state.round + 1):
+        in_ds = F.coalesce(F.col("set") == "DS", F.lit(False)).cast("bigint")
+        one = bfr.table("assigned", r).select("point_id", F.lit(r).alias("round_id"), in_ds.alias("ds"))
+        taken = one if taken is None else taken.unionByName(one)
+    kinds = vw.points(spark, d).select("point_id", "kind")
+    rows = taken.join(kinds, "point_id").groupBy("round_id", "kind")
+    return rows.agg(F.sum("ds").alias("n_discard"), F.sum(1 - F.col("ds")).alias("n_other"))
+
+
 def bfr_core_groups(spark: SparkSession, d: str) -> DataFrame:
     """Core points with the least core point of their cluster."""
     core = vw.points(spark, d).where("kind = 'core'").select("point_id")
@@ -137,7 +151,22 @@ def girvan_newman_certificate(spark: SparkSession, d: str) -> DataFrame:
     value = found.groupBy(F.col("community").alias("c")).agg(F.max("modularity").alias("modularity"), F.count(F.lit(1)).alias("size"))
     both = value.join(pieces, "c").crossJoin(F.broadcast(again))
     gap = F.round(F.abs(F.col("modularity") - F.col("m")), 6)
-    return both.agg(F.sum("size").alias("n_nodes"), F.max("n_parts").alias("n_parts"), F.max(gap).alias("gap"))
+    # The components as they are would be a partition too: the one found is a better one.
+    whole = gr.connected_components(edges).select("node", F.col("component").alias("community"))
+    start = gr.modularity(edges, whole).first()[0]
+    return both.agg(
+        F.sum("size").alias("n_nodes"),
+        F.max("n_parts").alias("n_parts"),
+        F.max(gap).alias("gap"),
+        (F.min("modularity") > start + 0.01).alias("better"),
+    )
+
+
+def girvan_newman_first_cuts(spark: SparkSession, d: str) -> DataFrame:
+    """The first edge that each component loses, with its score."""
+    edges = checkpointed(q._block_edges(spark, d, q.SPARSE_BLOCK_THRESHOLD))
+    first = bt.removals(edges).order.where("round = 1")
+    return first.select("src", "dst", F.round("score", 6).alias("score"))
 
 
 def lsh_recall(spark: SparkSession, d: str) -> DataFrame:
@@ -152,8 +181,8 @@ def lsh_recall(spark: SparkSession, d: str) -> DataFrame:
 
 
 def similar_pairs_complete(spark: SparkSession, d: str) -> DataFrame:
-    """One row per band: at this threshold a pair is missed with probability 0.9 ** 100 < 0.00003."""
-    found = lsh.similar_pairs(vw.user_items(spark, d), "business_id", "user_id", q.JACCARD, 2 * q.BANDS, 1)
+    """All similar pairs, by the exact join; its SQL takes bands of one row."""
+    found = prefix_join.jaccard_pairs(vw.user_items(spark, d), "business_id", "user_id", q.JACCARD)
     return found.withColumn("sim", F.round("sim", 6))
 
 
@@ -168,9 +197,11 @@ REGISTRY = {
         forest_two_means,
         bfr_round_totals,
         bfr_stream_totals,
+        bfr_round_kinds,
         bfr_core_groups,
         profile_totals,
         girvan_newman_certificate,
+        girvan_newman_first_cuts,
         lsh_recall,
         similar_pairs_complete,
     )
@@ -203,11 +234,19 @@ w AS (SELECT x, avg(y) AS mean FROM r GROUP BY 1)
 SELECT (SELECT round(avg(mse), 6) FROM cv) AS cv_mse, round(sqrt(avg((y - mean) ** 2)), 6) AS val_rmse FROM r JOIN w USING (x)""",
         "bfr_round_totals": totals,
         "bfr_stream_totals": totals,
+        "bfr_round_kinds": f"""WITH {o._points()}
+SELECT (point_id // 5) % 5 + 1 AS round_id, kind, count(*) FILTER (kind = 'core') AS n_discard,
+  count(*) FILTER (kind <> 'core') AS n_other FROM points GROUP BY ALL""",
         "bfr_core_groups": f"""WITH {o._points()}
 SELECT point_id, min(point_id) OVER (PARTITION BY centre) AS least FROM points WHERE kind = 'core'""",
         "profile_totals": "SELECT count(*) AS n_rows, true AS gapless FROM lineitem",
         "girvan_newman_certificate": f"""WITH {o.block_edges(q.SPARSE_BLOCK_THRESHOLD)}
-SELECT count(*) AS n_nodes, 1 AS n_parts, 0.0::DOUBLE AS gap FROM (SELECT src FROM edges UNION SELECT dst FROM edges)""",
+SELECT count(*) AS n_nodes, 1 AS n_parts, 0.0::DOUBLE AS gap, true AS better
+FROM (SELECT src FROM edges UNION SELECT dst FROM edges)""",
+        "girvan_newman_first_cuts": f"""SELECT src, dst, score FROM (
+  SELECT s.*, row_number() OVER (PARTITION BY component ORDER BY score DESC, s.src, s.dst) AS rn
+  FROM ({o._betweenness(o.block_edges(q.SPARSE_BLOCK_THRESHOLD), "150")}) s
+  JOIN ({o._components(o.block_edges(q.SPARSE_BLOCK_THRESHOLD))} SELECT * FROM parts) p ON p.node = s.src) WHERE rn = 1""",
         "lsh_recall": f"""SELECT 'exact' AS setting, count(*) AS n_pairs FROM (WITH {exact} {o._verified('pairs')})
 UNION ALL SELECT '{q.BANDS}x{q.ROWS}', count(*) FROM (WITH {o._candidates()} {o._verified('candidates')})
 UNION ALL SELECT '{2 * q.BANDS}x1', count(*) FROM (WITH {o._candidates(2 * q.BANDS, 1)} {o._verified('candidates')})""",

@@ -401,6 +401,7 @@ SELECT business_id, n_members, {" || ',' || ".join(f"h{i}" for i in range(q.BAND
   JOIN members y ON x.user_id = y.user_id AND x.business_id < y.business_id)
 {_verified('pairs')}""",
         "near_duplicate_documents": NEAR_DUPLICATES,
+        "similar_documents_exact": NEAR_DUPLICATES,
         "corated_pairs": f"{PAIR_SUMS} SELECT b1, b2, n FROM sums",
         "pearson_weights": f"{MODEL} SELECT b1, b2, round(sim, 6) AS sim FROM model",
         "corated_pairs_all": f"{ALL_PAIR_SUMS} SELECT b1, b2, n FROM sums",
@@ -431,6 +432,9 @@ SELECT min(node) AS community, count(*) AS size FROM l{q.LPA_ROUNDS} GROUP BY la
         "edge_betweenness": _betweenness(HOUR_EDGES, "(SELECT count(*) FROM nodes)"),
         "block_edges": f"WITH {BLOCK_EDGES} SELECT src, dst FROM edges",
         "block_label_propagation": f"WITH {BLOCK_EDGES}, {_label_rounds()} SELECT node, label FROM l{q.LPA_ROUNDS}",
+        "dense_ids": "SELECT c_name, row_number() OVER (ORDER BY c_name) - 1 AS code FROM (SELECT DISTINCT c_name FROM customer)",
+        "coded_components": f"""{_components(BLOCK_EDGES)}
+SELECT 'u' || lpad(node::VARCHAR, 12, '0') AS node, 'u' || lpad(component::VARCHAR, 12, '0') AS component FROM parts""",
         "block_components": f"{_components(BLOCK_EDGES)} SELECT node, component FROM parts",
         # A component lies in a block of 150 customers.
         "block_betweenness": _betweenness(BLOCK_EDGES, "150"),

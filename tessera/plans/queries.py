@@ -10,13 +10,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.hashing import coefficients, id_bin
 from ..operators import betweenness as bt
-from ..operators import cf, clustering as cl, explore as ex, graph as gr
-from ..operators import itemsets as it, lsh, pairs, partitions as pt, regression as rg
+from ..operators import cf, clustering as cl, dictionary as dc, explore as ex, graph as gr
+from ..operators import itemsets as it, lsh, pairs, partitions as pt, prefix_join, regression as rg
 from ..session import checkpointed, shared_dir
 from ..sources import views as vw
-from ..sources.readers import stream_points
+from ..sources.readers import read_points
 from ..sources.writers import write_model
-from ..streaming.bfr_stream import run_stream
+from ..streaming.bfr_stream import run_rounds
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -186,7 +186,7 @@ def similar_pairs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def jaccard_pairs_exact(spark: SparkSession, d: str) -> DataFrame:
-    found = pairs.jaccard_pairs(vw.user_items(spark, d), "business_id", "user_id", JACCARD)
+    found = prefix_join.jaccard_pairs(vw.user_items(spark, d), "business_id", "user_id", JACCARD)
     return found.withColumn("sim", _r("sim"))
 
 
@@ -203,6 +203,12 @@ def near_duplicate_documents(spark: SparkSession, d: str) -> DataFrame:
     return found.withColumn("sim", _r("sim"))
 
 
+def similar_documents_exact(spark: SparkSession, d: str) -> DataFrame:
+    """What `near_duplicate_documents` looks for, complete by construction."""
+    found = prefix_join.similar_sets(vw.doc_shingles(spark, d), "doc_id", "shingle", DOC_JACCARD)
+    return found.withColumn("sim", _r("sim"))
+
+
 # -- collaborative filtering ----------------------------------------------------------------
 
 
@@ -315,7 +321,7 @@ def block_betweenness(spark: SparkSession, d: str) -> DataFrame:
 
 
 def block_jaccard_pairs(spark: SparkSession, d: str) -> DataFrame:
-    found = pairs.jaccard_pairs(vw.block_items(spark, d), "user_id", "item", BLOCK_JACCARD)
+    found = prefix_join.jaccard_pairs(vw.block_items(spark, d), "user_id", "item", BLOCK_JACCARD)
     return found.withColumn("sim", _r("sim"))
 
 
@@ -329,6 +335,18 @@ def girvan_newman(spark: SparkSession, d: str) -> DataFrame:
     return bt.girvan_newman(_customer_edges(spark, d, SMALL_EDGE_THRESHOLD))
 
 
+def dense_ids(spark: SparkSession, d: str) -> DataFrame:
+    return dc.dense_ids(vw.table(spark, d, "customer"), "c_name")
+
+
+def coded_components(spark: SparkSession, d: str) -> DataFrame:
+    """Components of a graph whose ids are text, worked on as numbers."""
+    edges = _block_edges(spark, d, BLOCK_THRESHOLD)
+    named = edges.select(*[F.concat(F.lit("u"), F.lpad(F.col(c).cast("string"), 12, "0")).alias(c) for c in ("src", "dst")])
+    coded, names = dc.encoded_edges(checkpointed(named))
+    return dc.decoded(gr.connected_components(coded), ["node", "component"], names)
+
+
 # -- clustering -----------------------------------------------------------------------------
 
 
@@ -430,19 +448,24 @@ def bfr_rounds(spark: SparkSession, d: str) -> DataFrame:
     return bfr.metrics(state)
 
 
+def _round_folder(spark: SparkSession, d: str, folder: str) -> None:
+    """The chunks as text files, a folder for each, written in one job."""
+    line = F.concat_ws(",", F.col("point_id").cast("string"), F.col("features").cast("array<string>"))
+    rows = vw.points(spark, d).select(F.col("chunk").alias("round"), line.alias("value"))
+    rows.write.partitionBy("round").text(folder)
+
+
 def bfr_stream_rounds(spark: SparkSession, d: str) -> DataFrame:
-    """The chunks are written as text files, one per round, and read back as a stream."""
+    """The chunks are written as text, one folder per round, and read back as a stream."""
     bfr = _bfr(spark)
     folder = f"{bfr.work_dir}/files"
-    line = F.concat_ws(",", F.col("point_id").cast("string"), F.col("features").cast("array<string>"))
-    pts = vw.points(spark, d)
-    for c in range(N_CHUNKS):
-        one = pts.where(F.col("chunk") == c).select(line.alias("value"))
-        one.coalesce(1).write.mode("append").text(folder)
-    # Ids are numbers, as in the batch form: the seed sample is a hash of them.
-    lines = stream_points(spark, folder).withColumn("point_id", F.col("point_id").cast("bigint"))
-    state = run_stream(spark, folder, bfr, f"{bfr.work_dir}/stream", lines)
-    return bfr.metrics(state)
+    _round_folder(spark, d, folder)
+
+    def numbered(session: SparkSession, path: str) -> DataFrame:
+        # Ids are numbers, as in the batch form: the seed sample is a hash of them.
+        return read_points(session, path).withColumn("point_id", F.col("point_id").cast("bigint"))
+
+    return bfr.metrics(run_rounds(spark, folder, bfr, f"{bfr.work_dir}/stream", numbered))
 
 
 # -- regression -----------------------------------------------------------------------------
@@ -553,6 +576,7 @@ REGISTRY: dict[str, Query] = {
         similar_pairs,
         jaccard_pairs_exact,
         near_duplicate_documents,
+        similar_documents_exact,
         corated_pairs,
         corated_pairs_all,
         pearson_weights,
@@ -574,6 +598,8 @@ REGISTRY: dict[str, Query] = {
         block_jaccard_pairs,
         edge_betweenness,
         girvan_newman,
+        dense_ids,
+        coded_components,
         cluster_stats,
         cluster_stats_all,
         wide_cluster_stats,

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.clustering import Bfr, State
-from ..sources.readers import stream_points
+from ..sources.ordered import stream_rounds
+from ..sources.readers import read_points, stream_points
 
 
 def run_stream(
@@ -13,7 +16,7 @@ def run_stream(
 ) -> State:
     """Work off the files now in `folder`, one per round, and finish.
 
-    The file source takes files by modification time, so they should be put there in name order.
+    The file source takes files by modification time; `run_rounds` goes by their names.
     A batch that is run again after a failure loads the state of the round before it and replaces
     its own tables.
     """
@@ -32,3 +35,30 @@ def run_stream(
     )
     query.awaitTermination()
     return bfr.finish(bfr.load(last["round"]))
+
+
+def run_rounds(
+    spark: SparkSession,
+    folder: str,
+    bfr: Bfr,
+    checkpoint: str,
+    read: Callable[[SparkSession, str], DataFrame] = read_points,
+) -> State:
+    """Work off what is now in `folder` in the order of names, a file or folder per round, and finish.
+
+    Modification times don't matter. A run that failed goes on with the round it failed in, from the
+    state before it; if none is left to do, the result is the same again.
+    """
+    rounds, n = stream_rounds(spark, folder)
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        for r in batch.orderBy("place").collect():
+            bfr.round(read(spark, r.path), bfr.load(r.place))
+
+    query = rounds.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).start()
+    try:
+        # A micro-batch takes one round and the next one follows at once, until no name is left.
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return bfr.finish(bfr.load(n))

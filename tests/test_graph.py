@@ -135,6 +135,24 @@ def test_girvan_newman_equals_one_edge_at_a_time(spark, seed):
     assert rows[0].modularity == pytest.approx(best)
 
 
+def test_only_touched_roots_are_walked_again(spark):
+    edges = _random_edges(5, n=16, m=15)
+    nodes = {v for e in edges for v in e}
+    course, plain = bt.removals(_frame(spark, edges)), bt.removals(_frame(spark, edges), index_rows=0)
+    rows = [[(r.src, r.dst, round(r.score, 9)) for r in c.order.orderBy("key").collect()] for c in (course, plain)]
+    assert rows[0] == rows[1] and len(rows[0]) == len(edges)
+    assert course.redone[0] == len(nodes) and sum(course.redone[1:]) < len(nodes) * (len(course.redone) - 1)
+    assert set(plain.redone) == {-1}
+    # A root whose shortest paths don't use an edge keeps them without it.
+    before, after = (
+        {(r.root, r.src, r.dst): r.credit for r in bt.path_credit(_frame(spark, e), bt.vertices(_frame(spark, e))).collect()}
+        for e in (edges, edges[1:])
+    )
+    gone = tuple(edges[0])
+    touched = {k[0] for k in before if k[1:] == gone}
+    assert {k: v for k, v in before.items() if k[0] not in touched} == {k: v for k, v in after.items() if k[0] not in touched}
+
+
 def test_running_total(spark):
     df = spark.createDataFrame([(i % 3, i, float(i)) for i in range(50)], "g int, o int, v double")
     total = {r.o: r.t for r in bt.running_total(df, "o", "v", "t").collect()}
