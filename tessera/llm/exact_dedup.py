@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import BLANK, attach, stored, text_of
+from .common import BLANK, HOT_SHARE, attach, stored, text_of
 
 # Filter bits per row: two positions per row leave some 1.5 % of unique rows as possible repeats.
 BITS_PER_ROW = 16
-MIN_BITS, MAX_BITS = 1 << 16, 1 << 34
-# Rows of 16 bytes of a filter that may be sent to every executor: some 64 MB as a hash table.
+MIN_BITS = 1 << 16
+# Rows of 16 bytes of a filter that may be sent to every executor: some 64 MB as a hash table. A
+# longer filter stays where it is and is looked up by slim rows.
 FILTER_ROWS = 1_000_000
 
 
@@ -24,7 +25,7 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def filter_bits(rows: int) -> int:
-    return min(MAX_BITS, max(MIN_BITS, 1 << (rows * BITS_PER_ROW - 1).bit_length()))
+    return max(MIN_BITS, 1 << (rows * BITS_PER_ROW - 1).bit_length())
 
 
 def positions(h: Column, bits: int) -> list[Column]:
@@ -40,17 +41,36 @@ def repeat_filter(rows: DataFrame, bits: int) -> DataFrame:
     return twice.groupBy(F.shiftright("p", 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
 
 
-def probe(rows: DataFrame, repeats: DataFrame, bits: int) -> DataFrame:
-    """Second pass: rows with `maybe`, true if all their positions are in the filter."""
-    n = repeats.count()
-    side = F.broadcast(repeats) if n <= FILTER_ROWS else repeats
-    out = rows
-    for i, p in enumerate(positions(F.col("h"), bits)):
-        named = side.select(F.col("word").alias(f"w{i}"), F.col("bits").alias(f"b{i}"))
-        out = out.withColumn(f"p{i}", p)
-        out = out.join(named, F.shiftright(f"p{i}", 6) == F.col(f"w{i}"), "left")
-    hit = [F.expr(f"coalesce(shiftrightunsigned(b{i}, cast(p{i} & 63 as int)) & 1L, 0L) = 1L") for i in (0, 1)]
-    return out.select(*rows.columns, (hit[0] & hit[1]).alias("maybe"))
+def in_filter(rows: DataFrame, filter_words: DataFrame, position: Column) -> DataFrame:
+    """`rows` with `hit`: whether the filter has the position."""
+    words = filter_words.select(F.col("word").alias("_w"), F.col("bits").alias("_b"))
+    at = rows.withColumn("_p", position)
+    at = at.join(words, F.shiftright("_p", 6) == F.col("_w"), "left")
+    hit = F.expr("coalesce(shiftrightunsigned(_b, cast(_p & 63 as int)) & 1L, 0L) = 1L")
+    return at.select(*rows.columns, hit.alias("hit"))
+
+
+def probe(rows: DataFrame, repeats: DataFrame, bits: int, filter_rows: int = FILTER_ROWS) -> DataFrame:
+    """Second pass: rows with `maybe`, true if all their positions are in the filter.
+
+    Up to `filter_rows` words the filter goes to the rows. A longer one is looked up by them: hashes with
+    more than 1/1000 of the rows, at most 1000, are repeats and need not look, so no word is asked
+    for by many rows; the others look up one position, and those that hit the other one.
+    """
+    one, two = positions(F.col("h"), bits)
+    own = rows.columns
+    if repeats.count() <= filter_rows:
+        side = F.broadcast(repeats)
+        first = in_filter(rows, side, one).withColumnRenamed("hit", "hit0")
+        return in_filter(first, side, two).select(*own, (F.col("hit0") & F.col("hit")).alias("maybe"))
+    counts = rows.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+    hot = counts.where(F.col("n") > max(1, rows.count() // HOT_SHARE)).select("h", F.lit(True).alias("hot"))
+    split = rows.join(F.broadcast(hot), "h", "left")
+    known = split.where("hot").select(*own, F.lit(True).alias("maybe"))
+    looked = stored(in_filter(split.where("hot is null").select(*own), repeats, one), "looked")
+    cleared = looked.where("not hit").select(*own, F.lit(False).alias("maybe"))
+    again = in_filter(looked.where("hit").select(*own), repeats, two).select(*own, F.col("hit").alias("maybe"))
+    return known.unionByName(cleared).unionByName(again)
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

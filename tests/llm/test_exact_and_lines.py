@@ -32,6 +32,22 @@ def test_filter_never_clears_a_repeat(spark):
     assert marked.where("cast(sha as int) >= 5000 and maybe").count() < 1000
 
 
+def test_long_filters_give_the_same(spark, odd, sample, monkeypatch):
+    rows = spark.range(20_000).selectExpr(
+        "if(id % 3 = 0, 'hot', cast(id % 15000 as string)) as sha", "xxhash64(if(id % 3 = 0, -1, id % 15000)) as h", "id as doc_id"
+    )
+    bits = exact_dedup.filter_bits(20_000)
+    repeats = exact_dedup.repeat_filter(rows, bits)
+    whole, split = (sorted(map(tuple, exact_dedup.probe(rows, repeats, bits, n).collect())) for n in (10**6, 0))
+    assert whole == split and len(whole) == 20_000 and {r[3] for r in whole} == {True, False}
+    for docs in (odd, sample):
+        want = sorted(map(str, exact_dedup.exact_dedup(docs).collect()))
+        with monkeypatch.context() as m:
+            m.setattr(exact_dedup.probe, "__defaults__", (0,))
+            assert sorted(map(str, exact_dedup.exact_dedup(docs).collect())) == want
+    assert exact_dedup.filter_bits(1 << 40) == 1 << 44
+
+
 def test_attach_splits_hot_keys(spark):
     rows = spark.range(5000).selectExpr("if(id < 3000, 'hot', cast(id as string)) as k", "id")
     groups = rows.groupBy("k").count().withColumnRenamed("count", "group_size").where("group_size > 1")
