@@ -1,6 +1,8 @@
 import hashlib
 import re
 
+from pyspark.sql import functions as F
+
 from tessera.llm import secret_scan as ss
 from tessera.llm.common import work_path
 
@@ -70,3 +72,15 @@ def test_only_unseen_pairs_are_scanned(spark):
     ss.scan_new(later, ledger, newer)
     assert ledger.rows().count() == 3 * len(ss.RULES) + 3
     assert ledger.rows().where("kind = 'hex' and version = 2").count() == 3
+
+
+def test_loads_meet_a_filled_ledger(spark, sample, odd):
+    for docs in (sample, odd):
+        ledger = ss.Ledger(spark, work_path(spark, "ledger"))
+        got = sorted(map(str, ss.scan_in_loads(docs, ledger).collect()))
+        assert got == sorted(map(str, report(spark, docs).collect()))
+        blobs = docs.selectExpr("sha2(coalesce(text, ''), 256) as blob").distinct()
+        n, early = blobs.count(), blobs.where("substring(blob, 1, 1) < '8'").count()
+        done = {(r.kind, r.version): r.n for r in ledger.rows().groupBy("kind", "version").agg(F.count("*").alias("n")).collect()}
+        # No pair of a blob and a rule's version is entered twice.
+        assert done == {("assign", 1): n, ("access", 1): n, ("hex", 1): n, ("hex", 0): early} and 0 < early < n
