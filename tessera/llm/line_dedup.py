@@ -73,16 +73,8 @@ def boilerplate(found: DataFrame, sketches: DataFrame, min_sites: int = MIN_SITE
     return sure.unionByName(unsure.join(counted.select("line"), "line"))
 
 
-def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
-    """`docs` with text rewritten, and n_lines, n_removed (in place of columns so named): every row
-    once, other columns kept.
-
-    A line with a word that is on `min_sites` sources or more, blanks at its ends aside, goes
-    from all documents but the one with the smallest id, which keeps all its copies of it. A null
-    source is one site with the empty name. Null texts stay null with no lines; an empty text has
-    one line and keeps it; lines without words are never removed. Rows of one id share their
-    claim on a line.
-    """
+def rewritten(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
+    """(row, text, n_lines, n_removed): every row as it was, beside its new text and the counts."""
     found = lines(docs)
     common = stored(boilerplate(found, line_sketches(found), min_sites), "boilerplate")
     hits = (
@@ -98,10 +90,21 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame
     rows = rows.withColumn("stay", F.when(F.col("gone").isNull(), F.col("lines")).otherwise(stay))
     text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join("stay", "\n"))
     count = lambda c: F.coalesce(F.array_size(c), F.lit(0)).cast("bigint")
-    own = [c for c in docs.columns if c not in ("text", "n_lines", "n_removed")]
     return rows.select(
-        *[F.col("row")[c].alias(c) for c in own],
-        text.alias("text"),
-        count("lines").alias("n_lines"),
-        (count("lines") - count("stay")).alias("n_removed"),
+        "row", text.alias("text"), count("lines").alias("n_lines"), (count("lines") - count("stay")).alias("n_removed")
     )
+
+
+def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
+    """`docs` with text rewritten, and n_lines, n_removed (in place of columns so named): every row
+    once, other columns kept.
+
+    A line with a word that is on `min_sites` sources or more, blanks at its ends aside, goes
+    from all documents but the one with the smallest id, which keeps all its copies of it. A null
+    source is one site with the empty name. Null texts stay null with no lines; an empty text has
+    one line and keeps it; lines without words are never removed. Rows of one id share their
+    claim on a line.
+    """
+    own = [c for c in docs.columns if c not in ("text", "n_lines", "n_removed")]
+    rows = rewritten(docs, min_sites)
+    return rows.select(*[F.col("row")[c].alias(c) for c in own], "text", "n_lines", "n_removed")

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.graph import connected_components
-from .common import BLANKS, attach, bounded, dealt, stored, text_of
+from .common import BLANKS, WORD, attach, bounded, dealt, stored, text_of, wrapped
 
 SHINGLE_WORDS = 3
 PERCENT = 90
@@ -169,19 +169,59 @@ def may_match(percent: int) -> Column:
     return 100 * most >= percent * (F.col("a_n") + F.col("b_n") - most)
 
 
+def parity_map(s: np.ndarray) -> bytes:
+    """As `bitmap`, with four to eight bits per element, so that it tells large sets apart too."""
+    bits = 1 << max(6, (4 * len(s) - 1).bit_length())
+    parity = np.bincount((mixed(s ^ M3) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(parity.astype(np.uint8), bitorder="little").tobytes()
+
+
+def differing_bits(x: bytes, y: bytes) -> int:
+    """Bits in which two maps differ; the longer one is folded first, half upon half."""
+    a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    while len(a) != len(b):
+        if len(a) < len(b):
+            a, b = b, a
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def shingle_sets(docs: DataFrame, n: int) -> DataFrame:
-    """(node, s): the sorted hashes of each row's set, eight bytes each."""
+    """(node, s, n, m): the sorted hashes of each row's set, eight bytes each, their number and map."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(n)
         for batch in batches:
             for k in range(0, batch.num_rows, BATCH_ROWS):
                 b = batch.slice(k, BATCH_ROWS)
-                raw = [s.tobytes() for s in shingler.batch(b.column(1).to_pylist())]
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(raw, pa.binary())], ["node", "s"])
+                sets = list(shingler.batch(b.column(1).to_pylist()))
+                columns = [
+                    pa.array([s.tobytes() for s in sets], pa.binary()),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([parity_map(s) for s in sets], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays([b.column(0), *columns], ["node", "s", "n", "m"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", text_of().alias("t")).mapInArrow(run, f"node {kind}, s binary")
+    return docs.select("doc_id", text_of().alias("t")).mapInArrow(run, f"node {kind}, s binary, n bigint, m binary")
+
+
+def narrowed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that the maps allow. Maps are a tenth of the sets, which are moved for
+    the rest alone."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            good = []
+            for x, nx, y, ny in zip(*(b.column(i).to_pylist() for i in range(2, 6))):
+                most = (nx + ny - differing_bits(x, y)) // 2
+                good.append(100 * most >= percent * (nx + ny - most))
+            yield b.select([0, 1]).filter(pa.array(good, pa.bool_()))
+
+    kind = pairs.schema["a"].dataType.simpleString()
+    side = lambda p: sets.select(F.col("node").alias(p), F.col("m").alias(f"m_{p}"), F.col("n").alias(f"n_{p}"))
+    both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "m_a", "n_a", "m_b", "n_b")
+    return both.mapInArrow(run, f"a {kind}, b {kind}")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -293,6 +333,9 @@ def similar_components(docs: DataFrame, n: int = SHINGLE_WORDS, percent: int = P
         if sets is None:
             wanted = stored(members.select(F.col("node").alias("doc_id")).distinct(), "wanted")
             sets = stored(shingle_sets(dealt(docs.join(bounded(wanted), "doc_id", "left_semi")), n), "sets")
+        if percent < PERCENT:
+            # The short bitmaps of the nodes tell little where sets may differ in more elements than bits.
+            pairs = stored(narrowed(pairs, sets, percent), "narrowed")
         links = stored(links.unionByName(verified(pairs, sets, percent)), "links")
     parts = components(links)
     groups = classes.join(parts.withColumnRenamed("id", "node"), "node", "left")
@@ -311,13 +354,32 @@ def components(links: DataFrame) -> DataFrame:
     return found.select(F.col("node").alias("id"), "component")
 
 
-def one_of_each(docs: DataFrame, n: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
-    """The rows of `docs` whose id is the smallest of their component; of rows that repeat an id the
-    first by hash. Rows without an id or without words stay."""
-    found = similar_components(docs, n, percent)
-    gone = stored(found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct(), "gone")
-    left = docs.join(bounded(gone), "doc_id", "left_anti").select(*docs.columns)
+# What near-duplicate stages take: longer runs, and sets that are alike to a lesser degree.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
+
+def one_of_each(docs: DataFrame, n: int = NEAR_WORDS, percent: int = NEAR_PERCENT) -> DataFrame:
+    """The rows of `docs` but for those that are similar to one that stays: of each component the row
+    with the smallest id.
+
+    Rows of one id with different texts are documents of their own, known apart by a hash; of these
+    the smallest hash comes first. Of rows with the same id and the same text, in whatever other
+    columns they differ, the first in the order of their JSON form stays. Rows without an id or
+    without words all stay. An empty table gives no rows.
+    """
     again = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     if again.isEmpty():
-        return left
-    return left.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id is null"))
+        found = similar_components(docs, n, percent)
+        gone = stored(found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct(), "gone")
+        return docs.join(bounded(gone), "doc_id", "left_anti").select(*docs.columns)
+    key = F.struct("doc_id", F.xxhash64("text").alias("h"))
+    rows = wrapped(docs, key=F.when(F.col("doc_id").isNotNull(), key), text=F.col("text"))
+    found = similar_components(rows, n, percent, "key")
+    gone = stored(found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("key")).distinct(), "gone")
+    left = rows.join(bounded(gone), "key", "left_anti")
+    worded = left.where(F.col("key").isNotNull() & F.rlike(text_of(), F.lit(WORD)))
+    copies = stored(worded.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key"), "copies")
+    once = worded.join(bounded(copies), "key", "left_semi").groupBy("key").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    rest = left.where(F.col("key").isNull() | ~F.rlike(text_of(), F.lit(WORD)))
+    kept = worded.join(bounded(copies), "key", "left_anti").select("row").unionByName(once.select("row"))
+    return kept.unionByName(rest.select("row")).select("row.*")

@@ -100,14 +100,35 @@ def test_similar_sets_share_a_tile(size, changes, rnd):
             assert np.intersect1d(nj.tile_keys(a, tops, percent), nj.tile_keys(b, tops, percent)).size
     far = sum(int(x).bit_count() for x in (nj.bitmap(a) ^ nj.bitmap(b)).view(np.uint64))
     assert far <= len(a) + len(b) - 2 * both
+    assert nj.differing_bits(nj.parity_map(a), nj.parity_map(b)) <= len(a) + len(b) - 2 * both
+
+
+def test_maps_tell_unlike_sets_apart():
+    rng = np.random.default_rng(1)
+    for size in (100, 1000, 5000, 20_000):
+        a, b = (np.unique(rng.integers(0, 1 << 62, size).astype(np.uint64)) for _ in range(2))
+        # More bits differ than sets that are similar to 0.8 may have elements apart.
+        assert nj.differing_bits(nj.parity_map(a), nj.parity_map(b)) > nj.differing(2 * size, 80) * 1.5
+        longer = np.unique(np.concatenate([a, b[: size // 8]]))
+        assert nj.differing_bits(nj.parity_map(longer), nj.parity_map(a)) <= size // 8
 
 
 def test_one_of_each(sample, odd):
-    found = nj.similar_components(sample).collect()
+    found = nj.similar_components(sample, 5, 80).collect()
     want = sorted(r.doc_id for r in found if r.doc_id == r.component_id)
     out = nj.one_of_each(sample)
     assert sorted(r.doc_id for r in out.collect()) == want and out.columns == sample.columns
     left = nj.one_of_each(odd)
     assert left.columns == odd.columns
+    # Both texts of the repeated id stay; of the repeated row one does.
     ids = [r.doc_id for r in left.collect()]
-    assert sorted(ids, key=str) == sorted([1, 3, 4, 5, 6, None, 8, 10, 11], key=str)
+    assert sorted(ids, key=str) == sorted([1, 3, 4, 5, 6, None, 8, 10, 11, 11], key=str)
+
+
+def test_rows_of_one_id(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    rows = [(1, a, "y"), (1, b, "x"), (1, a, "x"), (2, a + " more", "z"), (3, "", "q"), (3, "", "q"), (None, a, "n"), (4, None, "m")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, key string").repartition(4)
+    got = sorted((tuple(r) for r in nj.one_of_each(df).collect()), key=str)
+    first = min([(1, a), (2, a + " more")])
+    assert got == sorted([(*first, "x"), (1, b, "x"), (3, "", "q"), (3, "", "q"), (None, a, "n"), (4, None, "m")], key=str)
