@@ -23,16 +23,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines go from all documents but the first that has them. A document that had
     words and has none left goes too; n_chars follows the text."""
-    out = line_dedup.remove_boilerplate(docs)
+    out = line_dedup.rewritten(docs)
     out = out.where((F.col("n_removed") == 0) | F.rlike(F.col("text"), F.lit(WORD)))
+    new = {c: F.col("row")[c] for c in docs.columns} | {"text": F.col("text")}
     if "n_chars" in docs.columns:
         changed = F.length("text").cast(docs.schema["n_chars"].dataType)
-        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, changed).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        new["n_chars"] = F.when(F.col("n_removed") > 0, changed).otherwise(new["n_chars"])
+    return out.select(*[v.alias(c) for c, v in new.items()])
 
 
 def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones stays: the smallest id."""
+    """One document of each group of similar ones stays, the smallest id: five words, 0.8."""
     return ngram_join.one_of_each(docs)
 
 
