@@ -187,28 +187,46 @@ def differing_bits(x: bytes, y: bytes) -> int:
 
 
 def shingle_sets(docs: DataFrame, n: int) -> DataFrame:
-    """(node, s, n, m): the sorted hashes of each row's set, eight bytes each, their number and map."""
+    """(node, s): the sorted hashes of each row's set, eight bytes each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(n)
         for batch in batches:
             for k in range(0, batch.num_rows, BATCH_ROWS):
                 b = batch.slice(k, BATCH_ROWS)
-                sets = list(shingler.batch(b.column(1).to_pylist()))
-                columns = [
-                    pa.array([s.tobytes() for s in sets], pa.binary()),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([parity_map(s) for s in sets], pa.binary()),
-                ]
-                yield pa.RecordBatch.from_arrays([b.column(0), *columns], ["node", "s", "n", "m"])
+                raw = [s.tobytes() for s in shingler.batch(b.column(1).to_pylist())]
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(raw, pa.binary())], ["node", "s"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", text_of().alias("t")).mapInArrow(run, f"node {kind}, s binary, n bigint, m binary")
+    return docs.select("doc_id", text_of().alias("t")).mapInArrow(run, f"node {kind}, s binary")
 
 
-def narrowed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that the maps allow. Maps are a tenth of the sets, which are moved for
-    the rest alone."""
+def shingle_maps(docs: DataFrame, n: int) -> DataFrame:
+    """(node, n, m): the size of each row's set and its map, a tenth of the set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(n)
+        for batch in batches:
+            for k in range(0, batch.num_rows, BATCH_ROWS):
+                b = batch.slice(k, BATCH_ROWS)
+                sizes, maps = [], []
+                for s in shingler.batch(b.column(1).to_pylist()):
+                    sizes.append(len(s))
+                    maps.append(parity_map(s))
+                columns = [b.column(0), pa.array(sizes, pa.int64()), pa.array(maps, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "n", "m"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", text_of().alias("t")).mapInArrow(run, f"node {kind}, n bigint, m binary")
+
+
+def of_nodes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows of `docs` whose id is among `nodes` (doc_id)."""
+    return dealt(docs.join(bounded(stored(nodes.distinct(), "wanted")), "doc_id", "left_semi"))
+
+
+def narrowed(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that the maps allow; sets are made and moved for these alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -219,7 +237,7 @@ def narrowed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield b.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
     kind = pairs.schema["a"].dataType.simpleString()
-    side = lambda p: sets.select(F.col("node").alias(p), F.col("m").alias(f"m_{p}"), F.col("n").alias(f"n_{p}"))
+    side = lambda p: maps.select(F.col("node").alias(p), F.col("m").alias(f"m_{p}"), F.col("n").alias(f"n_{p}"))
     both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "m_a", "n_a", "m_b", "n_b")
     return both.mapInArrow(run, f"a {kind}, b {kind}")
 
@@ -311,6 +329,9 @@ def similar_components(docs: DataFrame, n: int = SHINGLE_WORDS, percent: int = P
     copies = stored(named.join(classes.where("group_size > 1"), "key").where(F.col("doc_id") != F.col("node")).select("doc_id", "key").distinct(), "copies")
     own = named.join(bounded(copies), ["doc_id", "key"], "left_anti")
     postings = own.select(F.explode("tiles").alias("tile"), F.col("doc_id").alias("node"))
+    if percent < PERCENT:
+        # Lower similarities have more tiles: they are dealt out once, for the sums and for the join.
+        postings = postings.repartition("tile")
     shared = postings.groupBy("tile").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
     members = stored(postings.join(shared.select("tile"), "tile").distinct(), "members")
     nodes = own.join(members.select("node").distinct(), own["doc_id"] == F.col("node"), "left_semi")
@@ -318,7 +339,7 @@ def similar_components(docs: DataFrame, n: int = SHINGLE_WORDS, percent: int = P
     # Rows of one id with different texts are tied together first.
     split = named.join(classes, "key").groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b"))
     links = stored(split.where("a < b").select("a", "b"), "links")
-    sets = None
+    sets = maps = None
     for step in range(STAR_ROUNDS + 1):
         parts = components(links).withColumnRenamed("id", "node")
         known = members.join(parts, "node", "left")
@@ -330,12 +351,16 @@ def similar_components(docs: DataFrame, n: int = SHINGLE_WORDS, percent: int = P
         pairs = stored(pairs, "pairs")
         if pairs.isEmpty():
             continue
-        if sets is None:
-            wanted = stored(members.select(F.col("node").alias("doc_id")).distinct(), "wanted")
-            sets = stored(shingle_sets(dealt(docs.join(bounded(wanted), "doc_id", "left_semi")), n), "sets")
         if percent < PERCENT:
             # The short bitmaps of the nodes tell little where sets may differ in more elements than bits.
-            pairs = stored(narrowed(pairs, sets, percent), "narrowed")
+            if maps is None:
+                maps = stored(shingle_maps(of_nodes(docs, members.select(F.col("node").alias("doc_id"))), n), "maps")
+            pairs = stored(narrowed(pairs, maps, percent), "narrowed")
+            if pairs.isEmpty():
+                continue
+            sets = stored(shingle_sets(of_nodes(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))), n), "sets")
+        elif sets is None:
+            sets = stored(shingle_sets(of_nodes(docs, members.select(F.col("node").alias("doc_id"))), n), "sets")
         links = stored(links.unionByName(verified(pairs, sets, percent)), "links")
     parts = components(links)
     groups = classes.join(parts.withColumnRenamed("id", "node"), "node", "left")
