@@ -136,7 +136,7 @@ def test_girvan_newman_equals_one_edge_at_a_time(spark, seed):
 
 
 def test_only_touched_roots_are_walked_again(spark):
-    edges = _random_edges(5, n=16, m=15)
+    edges = _random_edges(5, n=7, m=6)
     nodes = {v for e in edges for v in e}
     course, plain = bt.removals(_frame(spark, edges)), bt.removals(_frame(spark, edges), index_rows=0)
     rows = [[(r.src, r.dst, round(r.score, 9)) for r in c.order.orderBy("key").collect()] for c in (course, plain)]
