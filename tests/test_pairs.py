@@ -1,4 +1,5 @@
 import random
+import re
 from itertools import combinations
 
 import pytest
@@ -93,3 +94,27 @@ def test_missing_keys_join_nothing(spark):
     df = spark.createDataFrame(rows, "id long, k string")
     assert pr.probe_skew(df, "k", block_rows=10, hot_degree=20) == pr.Skew(block_rows=10)
     assert [tuple(r) for r in pr.shared_counts(df, "id", "k", 1).collect()] == [(1, 2, 1)]
+
+
+def test_pairs_are_counted_where_their_lists_meet(spark):
+    """Pairs are not dealt out one by one, with values and without."""
+    df = spark.createDataFrame([(i, f"k{(i * j) % 97}", 1.0) for i in range(60) for j in range(1, 4)], "id long, k string, v double").dropDuplicates(["id", "k"])
+    for value in (None, "v"):
+        plan = pr.pair_sums(df, "id", "k", 1, value)._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(a#" in plan and not re.search(r"hashpartitioning\(a#\d+L?, b#", plan)
+
+
+def test_sums_of_few_pairs_are_looked_up(spark):
+    """Many pairs share one key and few share three: sums are those of all shared keys."""
+    rows = [(i, f"k{(i * 7 + j * j) % 50}", float(i % 5 + j)) for i in range(80) for j in range(4)]
+    rows += [(i, f"own{i // 2}-{j}", float((i + j) % 4)) for i in range(0, 20) for j in range(3)]
+    val = {(i, k): v for i, k, v in rows}
+    df = spark.createDataFrame([(i, k, v) for (i, k), v in val.items()], "id long, k string, v double")
+    sets = {i: {k for j, k in val if j == i} for i in range(80)}
+    want = {}
+    for a, b in combinations(range(80), 2):
+        both = sets[a] & sets[b]
+        if len(both) >= 3:
+            want[a, b] = (len(both), sum(val[a, k] for k in both), sum(val[a, k] * val[b, k] for k in both))
+    got = {(r.a, r.b): (r.n, r.sx, r.sxy) for r in pr.pair_sums(df, "id", "k", 3, "v").where("n >= 3").collect()}
+    assert want and got == want
