@@ -3,6 +3,7 @@ import re
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.operators import pairs as pr
 
@@ -118,3 +119,12 @@ def test_sums_of_few_pairs_are_looked_up(spark):
             want[a, b] = (len(both), sum(val[a, k] for k in both), sum(val[a, k] * val[b, k] for k in both))
     got = {(r.a, r.b): (r.n, r.sx, r.sxy) for r in pr.pair_sums(df, "id", "k", 3, "v").where("n >= 3").collect()}
     assert want and got == want
+
+
+def test_pairs_below_the_need_leave_before_sizes_are_joined(spark):
+    """Two sets of ten that share one key cannot reach a third; they are not passed on."""
+    rows = [(i, f"own{i}-{j}") for i in range(12) for j in range(9)] + [(i, "shared") for i in range(12)]
+    rows += [(20 + i, f"alike{j}") for i in range(2) for j in range(10)]
+    df = spark.createDataFrame(rows, "id long, k string")
+    assert pr.pair_sums(df, "id", "k", F.lit(4)).count() == 1
+    assert [tuple(r) for r in pr.jaccard_pairs(df, "id", "k", 1 / 3).collect()] == [(20, 21, 1.0)]
