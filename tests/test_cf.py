@@ -98,3 +98,18 @@ def test_constant_items_have_no_weight(spark):
                 if r > 1e-9:
                     want[a, b] = r
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 for k in want) and max(got.values()) <= 1.0
+
+
+def test_equal_correlations_are_equal_numbers(spark):
+    """Sums of whole stars are exact, so ties between neighbours are ties and go by name."""
+    rnd = random.Random(5)
+    stars = {(u, b): float(rnd.randint(1, 5)) for u in range(40) for b in range(14) if rnd.random() < 0.5}
+    df = spark.createDataFrame([(u, b, s) for (u, b), s in stars.items()], "user_id int, business_id int, stars double")
+    got = {(r.b1, r.b2): r.sim for r in cf.pearson_model(df, 3).collect()}
+    assert len(got) > 20
+    for (a, b), sim in got.items():
+        x, y = zip(*[(stars[u, a], stars[u, b]) for u in range(40) if (u, a) in stars and (u, b) in stars])
+        n, sx, sy = len(x), sum(x), sum(y)
+        num = n * sum(i * j for i, j in zip(x, y)) - sx * sy
+        den = (n * sum(i * i for i in x) - sx * sx) * (n * sum(j * j for j in y) - sy * sy)
+        assert sim == num / den**0.5
