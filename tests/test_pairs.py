@@ -128,3 +128,17 @@ def test_pairs_below_the_need_leave_before_sizes_are_joined(spark):
     df = spark.createDataFrame(rows, "id long, k string")
     assert pr.pair_sums(df, "id", "k", F.lit(4)).count() == 1
     assert [tuple(r) for r in pr.jaccard_pairs(df, "id", "k", 1 / 3).collect()] == [(20, 21, 1.0)]
+
+
+@pytest.mark.parametrize("block", [2048, 7])
+def test_pairs_of_few_keys_are_counted_by_bits(spark, monkeypatch, block):
+    """Keys that most ids share: no row is made for a pair and key, and any need is met."""
+    monkeypatch.setattr(pr, "BIT_IDS", block)
+    monkeypatch.setattr(pr, "_totals", None)
+    rnd = random.Random(8)
+    sets = {f"u{i}": {k for k in range(130) if rnd.random() < 0.4} for i in range(60)}
+    df = spark.createDataFrame([(i, k) for i, ks in sets.items() for k in ks], "id string, k int")
+    want = {(a, b): len(sets[a] & sets[b]) for a, b in combinations(sorted(sets), 2)}
+    for need in (1, 22):
+        got = {(r.a, r.b): r.n for r in pr.shared_counts(df, "id", "k", need).collect()}
+        assert got == {p: n for p, n in want.items() if n >= need}
