@@ -19,6 +19,8 @@ STAR_ROUNDS = 2
 BLOCK = 512
 BATCH_ROWS = 512
 WORDS_PER_BITMAP = 4
+# Parts more for each part of one element or none that a set is expected to have.
+SPARE = 1.2
 M1, M2, M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -86,9 +88,13 @@ def differing(both: int, percent: int = PERCENT) -> int:
 def tile_keys(s: np.ndarray, tops: list[int], percent: int) -> np.ndarray:
     """Keys of a set's tiles.
 
-    For two neighbouring bands, elements are dealt by hash to one part more than sets of these bands
-    may differ in, so similar sets have the same elements in at least one part. A tile is a pair
+    For two neighbouring bands, elements are dealt by hash to more parts than sets of these bands
+    may differ in, so similar sets have the same elements in at least `alike` parts. A tile is a pair
     of bands, a part and its elements. Where no difference is allowed there are no tiles.
+
+    Parts of one element or none are what unlike sets have in common. A set leaves `alike` - 1 of them
+    out, the last ones in an order by their names: two sets that are alike in these parts only have `alike` of
+    them in common, and so still one of the others. `parts` are as many more as sets have of them.
     """
     out = []
     band = int(np.searchsorted(tops, len(s)))
@@ -96,9 +102,13 @@ def tile_keys(s: np.ndarray, tops: list[int], percent: int) -> np.ndarray:
     for low in (band, band - 1):
         if low < 0:
             continue
-        parts = differing(tops[low] + tops[low + 1], percent) + 1
+        differ = differing(tops[low] + tops[low + 1], percent)
+        parts = differ + 1
         if parts < 2:
             continue
+        held = tops[low] / parts
+        parts += int(SPARE * parts * (1 + held) * np.exp(-held))
+        alike = parts - differ
         part = (spread >> np.uint64(33)) % np.uint64(parts)
         order = np.argsort(part, kind="stable")
         counts = np.bincount(part.astype(np.int64), minlength=parts)
@@ -107,7 +117,13 @@ def tile_keys(s: np.ndarray, tops: list[int], percent: int) -> np.ndarray:
         starts = (np.cumsum(counts) - counts)[full]
         sums[full] = np.add.reduceat(mixed(spread[order] ^ M3), starts)
         names = np.arange(parts, dtype=np.uint64) * M2 + np.full(1, low + 1, np.uint64) * M1
-        out.append(mixed(mixed(sums + names) ^ names))
+        keys = mixed(mixed(sums + names) ^ names)
+        if alike > 1:
+            light = np.flatnonzero(counts < 2)
+            # Elements come before empty parts, which all sets may share.
+            light = light[np.lexsort((keys[light], 1 - counts[light]))]
+            keys = np.delete(keys, light[max(0, len(light) - alike + 1) :])
+        out.append(keys)
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
