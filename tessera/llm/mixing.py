@@ -173,8 +173,9 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     m = mix(docs)
     lengths = F.sum(F.col("to_word") - F.col("from_word")).alias("words")
     runs = pieces(m).groupBy("rank", "start", "repeat").agg(F.min("slot").alias("slot"), lengths)
-    # One column that is never null, so that the window and the join share their partitioning.
-    key = F.struct("doc_id", "rank", "h")
+    # One plain column that is never null, so that the window and the join share their partitioning: a
+    # struct's fields may be null on one side only, and the cast of it would shuffle the texts once more.
+    key = F.concat_ws("/", source_key("doc_id"), F.col("rank").cast("string"), F.col("h").cast("string"))
     nth = F.dense_rank().over(Window.partitionBy("k").orderBy("start")).alias("nth")
     known = m.docs.where("size > 0").withColumn("k", key).select("k", "rank", "start", nth).join(runs, ["rank", "start"])
     known = known.groupBy("k").agg(F.collect_list(F.struct("nth", "slot", "words")).alias("runs"))

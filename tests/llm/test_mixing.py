@@ -119,6 +119,18 @@ def test_mixed_documents(sample, odd, many):
     assert got == want and out.columns == docs.columns
 
 
+def test_texts_are_shuffled_for_the_join_and_the_order_only(spark, sample, capsys):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        mixing.mixed_documents(sample).explain()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    plan = capsys.readouterr().out
+    # The branch of the texts comes before that of the runs.
+    branch = plan[: plan.index("FileScan")]
+    assert "Join [k#" in branch and branch.count("Exchange") == 2 + branch.count("BroadcastExchange")
+
+
 def test_order_of_a_stream_is_a_hash(sample):
     m = mixing.mix(sample)
     rows = sorted((r["rank"], r.start, r.size, r.doc_id) for r in m.docs.where("size > 0").collect())
