@@ -153,6 +153,36 @@ def test_only_touched_roots_are_walked_again(spark):
     assert {k: v for k, v in before.items() if k[0] not in touched} == {k: v for k, v in after.items() if k[0] not in touched}
 
 
+def test_components_as_groups_equal_the_joins(spark):
+    """A bridge and a ring of four: both by joins, the ring as a group, both as groups."""
+    edges = _frame(spark, BRIDGE + [(21, 22), (22, 23), (23, 24), (21, 24)])
+    courses = [bt.removals(edges, group_rows=g) for g in (0, 20, bt.GROUP_ROWS)]
+    order = [[(r.src, r.dst, round(r.score, 9), r["round"], len(r.key)) for r in c.order.orderBy("key").collect()] for c in courses]
+    moves = [sorted((r.node, r["round"], r.community, str(r.key)) for r in c.moves.collect()) for c in courses]
+    gains = [{str(r.key): r.gain for r in c.splits.collect()} for c in courses]
+    for i in (1, 2):
+        assert order[i] == order[0] and moves[i] == moves[0] and courses[i].redone == courses[0].redone
+        assert gains[i] == pytest.approx(gains[0])
+
+
+@pytest.mark.parametrize("group_rows", [0, 200])
+def test_betweenness_of_large_components_by_joins(spark, group_rows):
+    edges = _random_edges(1) + [(a + 20, b + 20) for a, b in BRIDGE]
+    rows = bt.edge_betweenness(_frame(spark, edges), group_rows=group_rows).collect()
+    assert {(r.src, r.dst): r.score for r in rows} == pytest.approx(_brute_betweenness(edges))
+
+
+def test_many_small_components_take_no_rounds_of_jobs(spark, monkeypatch):
+    """Neither batches nor rounds grow with the number of components."""
+    rows = [(20 * c + a, 20 * c + b) for c in range(300) for a, b in BRIDGE]
+    monkeypatch.setattr(bt, "path_credit", None)
+    got = bt.edge_betweenness(_frame(spark, rows), work_rows=50).collect()
+    assert len(got) == len(rows) and {r.score for r in got if (r.src % 20, r.dst % 20) == (3, 4)} == {9.0}
+    named = spark.createDataFrame([(f"n{a:05d}", f"n{b:05d}") for a, b in rows], "src string, dst string")
+    found = bt.girvan_newman(named).groupBy("community").count().collect()
+    assert len(found) == 300 and {r["count"] for r in found} == {6}
+
+
 def test_running_total(spark):
     df = spark.createDataFrame([(i % 3, i, float(i)) for i in range(50)], "g int, o int, v double")
     total = {r.o: r.t for r in bt.running_total(df, "o", "v", "t").collect()}
