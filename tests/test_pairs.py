@@ -142,3 +142,19 @@ def test_pairs_of_few_keys_are_counted_by_bits(spark, monkeypatch, block):
     for need in (1, 22):
         got = {(r.a, r.b): r.n for r in pr.shared_counts(df, "id", "k", need).collect()}
         assert got == {p: n for p, n in want.items() if n >= need}
+
+
+def test_tasks_follow_rows(spark, monkeypatch):
+    """However few bytes they read: lists are dealt out by the pairs they stand for, plain rows by their number."""
+    rows = [(i, k) for k in range(40) for i in range(k, k + 12)]
+    members = spark.createDataFrame([(*r, 1) for r in rows], "_id long, _key long, _need int")
+    monkeypatch.setattr(pr, "LIST_PAIRS", 100)
+    lists = pr._lists(members, [], pr.probe_skew(members, "_key"))
+    assert lists.rdd.getNumPartitions() == 40 * 66 // 100 + 1
+    monkeypatch.setattr(pr, "TASK_ROWS", 20)
+    parts = []
+    monkeypatch.setattr(pr, "checkpointed", lambda df: parts.append(df.rdd.getNumPartitions()) or df.localCheckpoint())
+    twice = spark.createDataFrame(rows + rows, "id long, key long")
+    got = pr.shared_counts(twice, "id", "key", 3, rows=len(rows) * 2).collect()
+    assert parts[0] == 2 * len(rows) // 20 + 1
+    assert {tuple(r) for r in got} == {tuple(r) for r in pr.shared_counts(twice, "id", "key", 3).collect()}
