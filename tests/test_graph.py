@@ -226,3 +226,20 @@ def test_corating_edges(spark):
     edges = gr.corating_edges(df, "u", "p", 2)
     assert [tuple(r) for r in edges.collect()] == [("a", "b")]
     assert {r.id for r in gr.vertices(edges).collect()} == {"a", "b"}
+
+
+@pytest.mark.parametrize("name", [int, "n{:03d}".format])
+def test_a_large_component_is_walked_root_by_root_in_tasks(spark, monkeypatch, name):
+    """Beyond a group, but held by a task: no round of joins per level; a third component is too large for that."""
+    small, middle = BRIDGE, [(a + 100, b + 100) for a, b in _random_edges(2)]
+    edges = [(name(a), name(b)) for a, b in small + middle]
+    kind = "long" if name is int else "string"
+    df = spark.createDataFrame(edges, f"src {kind}, dst {kind}")
+    walked = []
+    monkeypatch.setattr(bt, "_walked_scores", lambda left, batches: walked.append(left.count()) or left.selectExpr("src", "dst", "0.0D AS score"))
+    monkeypatch.setattr(bt, "summed_credit", lambda *a, of=bt.summed_credit: of(*a, cells=64))
+    rows = bt.edge_betweenness(df, group_rows=50).collect()
+    got = {(r.src, r.dst): r.score for r in rows}
+    assert not walked and len(got) == len(rows) and got == pytest.approx(_brute_betweenness(edges))
+    some = bt.edge_betweenness(df, group_rows=50, walk_edges=10).collect()
+    assert walked and {(r.src, r.dst) for r in some} == set(edges)
