@@ -12,9 +12,8 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.storagelevel import StorageLevel
 
-from ..session import checkpointed, small_side
+from ..session import checkpointed, small_side, stored
 from .dictionary import numbered
 from .pairs import pair_sums, pairs_within, probe_skew
 from .partitions import partition_of
@@ -51,12 +50,8 @@ def _mined(rows: DataFrame, needs: DataFrame, max_len: int | None) -> DataFrame:
     asked_for = counts.join(needs, "grp").where(F.col("support") >= F.col("need"))
     singles = checkpointed(numbered(asked_for, ["support", "grp", "item"], "code"))
     names = small_side(singles, singles.count())
-    kept = (
-        rows.join(names, ["grp", "item"])
-        .select("basket_id", "code", "need")
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-    held = [kept]
+    # Tables in the shared folder: what their making shuffles goes with it.
+    kept = stored(rows.join(names, ["grp", "item"]).select("basket_id", "code", "need"))
     levels = [singles.select(F.array("code").alias("items"), "support")]
     asked = names.select(F.col("code").alias("first"), "need")
     level = _frequent(
@@ -85,10 +80,7 @@ def _mined(rows: DataFrame, needs: DataFrame, max_len: int | None) -> DataFrame:
             found = _occurrences(found, sets, item_rows)
         else:
             found = found.join(sets, "items", "left_semi")
-        found = _occurrences(found, small_side(candidates, n_candidates), item_rows).persist(
-            StorageLevel.MEMORY_AND_DISK
-        )
-        held.append(found)
+        found = stored(_occurrences(found, small_side(candidates, n_candidates), item_rows))
         level = _frequent(
             found.groupBy("items").agg(F.count(F.lit(1)).alias("support")), asked
         )
@@ -96,8 +88,6 @@ def _mined(rows: DataFrame, needs: DataFrame, max_len: int | None) -> DataFrame:
     out = levels[0]
     for lv in levels[1:]:
         out = out.unionByName(lv)
-    for h in held:
-        h.unpersist()
     # Back to items; the lists are as long as the sets.
     return (
         out.select("items", "support", F.explode("items").alias("code"))
@@ -199,33 +189,37 @@ def son_candidates(
 
 
 def count_itemsets(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """(items, support): baskets that hold every item of the given sets."""
-    wanted = sets.select("items", F.size("items").alias("len"), F.explode("items").alias("item"))
-    # Of each set only the rarest item is met with the baskets; the others must follow there.
+    """(items, support): baskets that hold every item of the given sets.
+
+    Of each set only the rarest item is met with the baskets; those that have it are held against the next
+    item, one after the other, and what is left at the end is counted. Items and sets move as numbers.
+    """
     freq = rows.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
-    first = (
-        wanted.join(freq, "item")
-        .groupBy("items")
-        .agg(F.min(F.struct("n", "item")).alias("rarest"), F.count(F.lit(1)).alias("known"))
-        .where(F.col("known") == F.size("items"))
-        .select("items", F.col("rarest.item").alias("item"))
-    )
-    starts = rows.join(first, "item").select("basket_id", "items")
-    singles = starts.where(F.size("items") == 1).groupBy("items").agg(
-        F.count(F.lit(1)).alias("support")
-    )
-    longer = starts.where(F.size("items") > 1).select(
-        "basket_id", "items", F.explode("items").alias("item")
-    )
-    full = (
-        longer.join(rows, ["basket_id", "item"])
-        .groupBy("items", "basket_id")
-        .agg(F.count(F.lit(1)).alias("hits"))
-        .where(F.col("hits") == F.size("items"))
-        .groupBy("items")
-        .agg(F.count(F.lit(1)).alias("support"))
+    listed = checkpointed(sets.select("items").distinct().withColumn("set_id", F.monotonically_increasing_id()))
+    wanted = listed.select("set_id", F.explode(F.array_distinct("items")).alias("item")).join(freq, "item")
+    codes = checkpointed(numbered(wanted.select("item", "n").distinct(), ["n", "item"], "code").select("item", "code"))
+    n_codes = codes.count()
+    known = F.count(F.lit(1)) == F.max("size")
+    order = (
+        wanted.join(codes, "item")
+        .join(listed.select("set_id", F.size(F.array_distinct("items")).alias("size")), "set_id")
+        .groupBy("set_id")
+        .agg(F.array_sort(F.collect_list("code")).alias("codes"), known.alias("known"))
     )
-    return singles.unionByName(full)
+    order = checkpointed(order.where("known").select("set_id", "codes"))
+    seen = order.agg(F.count(F.lit(1)), F.max(F.size("codes"))).first()
+    held = stored(rows.join(small_side(codes, n_codes), "item").select("basket_id", "code"))
+    left = held.join(small_side(order.withColumn("code", F.col("codes")[0]), seen[0]), "code").drop("code")
+    counts = None
+    for size in range(1, (seen[1] or 0) + 1):
+        done = left.where(F.size("codes") == size).groupBy("set_id").agg(F.count(F.lit(1)).alias("support"))
+        counts = done if counts is None else counts.unionByName(done)
+        if size < seen[1]:
+            more = left.where(F.size("codes") > size).withColumn("code", F.col("codes")[size])
+            left = more.join(held, ["basket_id", "code"], "left_semi").drop("code")
+    if counts is None:
+        return listed.select("items", F.lit(0).cast("bigint").alias("support")).where(F.lit(False))
+    return listed.join(counts, "set_id").select("items", "support")
 
 
 def son_itemsets(

@@ -93,3 +93,18 @@ def test_equals_fp_growth(spark):
     )
     want = {tuple(sorted(r["items"])): r.freq for r in model.freqItemsets.collect()}
     assert _got(it.frequent_itemsets(rows, support)) == want
+
+
+def test_counted_sets_move_as_numbers(spark):
+    """Rows of baskets carry numbers of sets and items, not the items of a set, and each set meets its baskets once."""
+    rows = spark.createDataFrame([(b, f"i{k}") for b in range(40) for k in range(6) if (b + k) % 3 or b % 5 == 0], "basket_id int, item string")
+    sets = spark.createDataFrame([(["i0"],), (["i0", "i1"],), (["i1", "i2", "i4"],), (["i1", "x"],), (["i0", "i1"],)], "items array<string>")
+    out = it.count_itemsets(rows, sets)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.split("\n") if "basket_id" in x and "items" in x], plan
+    held = {}
+    for r in rows.collect():
+        held.setdefault(r.basket_id, set()).add(r.item)
+    want = [["i0"], ["i0", "i1"], ["i1", "i2", "i4"]]
+    assert sorted((r["items"], r.support) for r in out.collect()) == [(w, sum(set(w) <= h for h in held.values())) for w in want]
+    assert it.count_itemsets(rows, sets.where("size(items) > 5")).collect() == []
