@@ -107,3 +107,28 @@ def test_itemset_groups(spark):
         (1, ["c"]),
         (2, ["a", "b"]),
     ]
+
+
+def test_shuffle_files_go_with_a_kept_table(spark):
+    """A checkpoint or stored table leaves no shuffle files behind; the setting and the plan are as they were."""
+    import os
+    import time
+
+    from tessera import session
+
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+    places = [str(x) for x in env.blockManager().diskBlockManager().localDirs()]
+
+    def shuffled():
+        return {f for p in places for _, _, names in os.walk(p) for f in names if f.startswith("shuffle_")}
+
+    for keep in (session.checkpointed, session.stored):
+        before, setting = shuffled(), spark.conf.get(session.FILES_GO, None)
+        df = spark.range(5000).repartition(4, "id").selectExpr("id", "array(id) as a")
+        kept = keep(df)
+        until = time.time() + 20
+        while shuffled() - before and time.time() < until:
+            time.sleep(0.2)
+        assert not shuffled() - before
+        assert spark.conf.get(session.FILES_GO, None) == setting and kept.schema == df.schema
+        assert sorted(r.id for r in kept.collect()) == list(range(5000)) and df.count() == 5000
